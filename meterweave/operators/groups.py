@@ -19,7 +19,7 @@ def descendants(group_children: DataFrame) -> DataFrame:
     Paths double in length with each round, so a tree of depth d takes log2(d)
     rounds. A cycle shows as a pair (a, a) and does not prevent the end.
     """
-    reach = cut_lineage(group_children.select("parent", "child").distinct())
+    reach = group_children.select("parent", "child").distinct()
     known = reach.count()
     while True:
         onward = reach.select(F.col("parent").alias("child"), F.col("child").alias("further"))

@@ -83,8 +83,8 @@ def with_neighbours(
     )
     along = adjacent_days(keys)
     days = days.select(
-        *keys, "date", F.lag("_last").over(along).alias("_before"),
-        F.lead("_first").over(along).alias("_after"),
+        *keys, "date", F.lag("_last").over(along).alias("_day_before"),
+        F.lead("_first").over(along).alias("_day_after"),
     )
     inside = in_day(keys, order)
     near = rows.select(
@@ -96,9 +96,9 @@ def with_neighbours(
     )
     return (
         join_day_state(near, keys, days)
-        .withColumn(previous, F.when(F.col("_opens"), F.col("_before")).otherwise(F.col("_lag")))
-        .withColumn(following, F.when(F.col("_closes"), F.col("_after")).otherwise(F.col("_lead")))
-        .drop("_lag", "_opens", "_lead", "_closes", "_before", "_after")
+        .withColumn(previous, F.when(F.col("_opens"), F.col("_day_before")).otherwise(F.col("_lag")))
+        .withColumn(following, F.when(F.col("_closes"), F.col("_day_after")).otherwise(F.col("_lead")))
+        .drop("_lag", "_opens", "_lead", "_closes", "_day_before", "_day_after")
     )
 
 
