@@ -44,44 +44,57 @@ def _paired(points: DataFrame) -> DataFrame:
     return points.select("meter_id", F.when(both, t).alias("t"), F.when(both, d).alias("d"))
 
 
-def _totals(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("meter_id").agg(
-        F.count("t").alias("n"),
-        F.avg("t").alias("mean_t"),
-        F.avg("d").alias("mean_d"),
-        F.regr_sxx("d", "t").alias("sxx"),
-        F.regr_sxy("d", "t").alias("sxy"),
-        F.regr_syy("d", "t").alias("sst"),
-        F.floor(F.min("t")).alias("lowest"),
-        F.ceil(F.max("t")).alias("highest"),
-    )
+TOTALS = ("n", "mean_t", "mean_d", "sxx", "sxy", "sst", "lowest", "highest")
+MOMENTS = ("m", "r", "a1", "a2", "ar", "b1", "b2", "br")
+
+
+def _totals() -> dict[str, Column]:
+    return {
+        "n": F.count("t"),
+        "mean_t": F.avg("t"),
+        "mean_d": F.avg("d"),
+        "sxx": F.regr_sxx("d", "t"),
+        "sxy": F.regr_sxy("d", "t"),
+        "sst": F.regr_syy("d", "t"),
+        "lowest": F.min(F.floor("t")),
+        "highest": F.max(F.ceil("t")),
+    }
 
 
-def _hinges(pairs: DataFrame, totals: DataFrame) -> DataFrame:
-    """Per (meter, breakpoint): n, sst, mean_d and the centred moments of both hinges."""
-    bins = (
-        pairs.where("t is not null")
-        .join(totals.select("meter_id", "mean_d"), "meter_id")
-        .withColumn("degree", F.floor("t"))
-        .withColumn("r", F.col("d") - F.col("mean_d"))
+def _binned(points: DataFrame) -> DataFrame:
+    """One row per meter: totals and the moments of each whole degree as a map.
+
+    The points of a meter are its days and the map holds its degrees. All steps
+    up to the finished fits are grouped by meter, so the points move once.
+    """
+    meter = Window.partitionBy("meter_id")
+    rows = _paired(points).withColumns({name: c.over(meter) for name, c in _totals().items()})
+    rows = (
+        rows.withColumn("degree", F.floor("t"))
+        .withColumn("residual", F.col("d") - F.col("mean_d"))
         .withColumn("above", F.col("t") - F.col("degree"))
         .withColumn("below", 1 - F.col("above"))
-        .groupBy("meter_id", "degree")
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("m"),
-            F.sum("r").alias("r"),
-            F.sum("above").alias("a1"), F.sum(F.col("above") * F.col("above")).alias("a2"),
-            F.sum(F.col("above") * F.col("r")).alias("ar"),
-            F.sum("below").alias("b1"), F.sum(F.col("below") * F.col("below")).alias("b2"),
-            F.sum(F.col("below") * F.col("r")).alias("br"),
-        )
     )
-    axis = totals.where("n > 0").select(
-        "meter_id", "n", "sst", "mean_d", "lowest", "highest",
-        F.explode(F.sequence("lowest", "highest")).alias("degree"),
+    above, below, residual = F.col("above"), F.col("below"), F.col("residual")
+    bins = rows.groupBy("meter_id", *TOTALS, "degree").agg(
+        F.count(F.lit(1)).cast("double").alias("m"),
+        F.sum(residual).alias("r"),
+        F.sum(above).alias("a1"), F.sum(above * above).alias("a2"), F.sum(above * residual).alias("ar"),
+        F.sum(below).alias("b1"), F.sum(below * below).alias("b2"), F.sum(below * residual).alias("br"),
     )
-    filled = axis.join(bins, ["meter_id", "degree"], "left").fillna(
-        0.0, ["m", "r", "a1", "a2", "ar", "b1", "b2", "br"]
+    entry = F.when(F.col("degree").isNotNull(), F.struct("degree", F.struct(*MOMENTS).alias("moments")))
+    return bins.groupBy("meter_id", *TOTALS).agg(F.map_from_entries(F.collect_list(entry)).alias("bins"))
+
+
+def _hinges(points: DataFrame) -> DataFrame:
+    """Per (meter, whole degree p): totals and the centred moments of both hinges.
+
+    Breakpoints lie strictly inside the temperature range; other rows have p
+    NULL, and a meter without points keeps one such row.
+    """
+    moments = F.try_element_at("bins", F.col("degree"))
+    filled = _binned(points).withColumn("degree", F.explode_outer(F.sequence("lowest", "highest"))).select(
+        "meter_id", *TOTALS, "degree", *[F.coalesce(moments[c], F.lit(0.0)).alias(c) for c in MOMENTS]
     )
     along = Window.partitionBy("meter_id").orderBy("degree")
     back = Window.partitionBy("meter_id").orderBy(F.desc("degree"))
@@ -92,6 +105,7 @@ def _hinges(pairs: DataFrame, totals: DataFrame) -> DataFrame:
     def total(c: Column, frame) -> Column:
         return F.coalesce(F.sum(c).over(frame), F.lit(0.0))
 
+    # One degree further on every excess grows by one: H2(p+1) = H2(p) + 2 H1(p) + N(p) + b2(p).
     rows = filled.withColumns({"hn": total(F.col("m"), lower), "hr": total(F.col("r"), lower)})
     rows = rows.withColumn("h1", total(F.col("hn") + F.col("b1"), lower))
     rows = rows.withColumns(
@@ -101,40 +115,69 @@ def _hinges(pairs: DataFrame, totals: DataFrame) -> DataFrame:
         }
     )
     rows = rows.withColumns({"cn": total(F.col("m"), higher), "cr": total(F.col("r"), higher)})
-    rows = rows.withColumn("c1", F.sum(F.col("cn") + F.col("a1")).over(upto))
-    # One degree further out every excess grows by one: C2(p) = C2(p+1) + 2 C1(p+1) + N(p+1) + a2(p).
-    rows = rows.withColumn("c1_above", F.col("c1") - F.col("cn") - F.col("a1"))
+    rows = rows.withColumn("c1", total(F.col("cn") + F.col("a1"), upto))
+    further = F.col("c1") - F.col("cn") - F.col("a1")
     rows = rows.withColumns(
         {
-            "c2": F.sum(F.col("cn") + 2 * F.col("c1_above") + F.col("a2")).over(upto),
-            "cd": F.sum(F.col("cr") + F.col("ar")).over(upto),
+            "c2": total(F.col("cn") + 2 * further + F.col("a2"), upto),
+            "cd": total(F.col("cr") + F.col("ar"), upto),
         }
     )
-    return rows.where((F.col("degree") > F.col("lowest")) & (F.col("degree") < F.col("highest"))).select(
-        "meter_id", "n", "sst", "mean_d",
-        F.col("degree").cast("double").alias("p"),
+    inside = (F.col("degree") > F.col("lowest")) & (F.col("degree") < F.col("highest"))
+    return rows.select(
+        "meter_id", *TOTALS,
+        F.when(inside, F.col("degree").cast("double")).alias("hp"),
+        F.when(inside, F.col("degree").cast("double")).alias("cp"),
         "h1", (F.col("h2") - F.col("h1") * F.col("h1") / F.col("n")).alias("hh"), "hd",
         "c1", (F.col("c2") - F.col("c1") * F.col("c1") / F.col("n")).alias("cc"), "cd",
     )
 
 
+def _pairs(hinges: DataFrame) -> DataFrame:
+    """Each heating breakpoint with every cooling breakpoint at or above it.
+
+    The search over pairs of whole degrees is the definition of the model; its
+    size is set by the temperature range, not by the number of readings.
+    """
+    from_here_up = Window.partitionBy("meter_id").orderBy(F.desc("hp")).rowsBetween(Window.unboundedPreceding, 0)
+    cooling = ("cp", "c1", "cc", "cd")
+    upper = F.collect_list(F.when(F.col("cp").isNotNull(), F.struct(*cooling))).over(from_here_up)
+    kept = [c for c in hinges.columns if c not in cooling]
+    return hinges.withColumn("upper", upper).select(*kept, F.explode_outer("upper").alias("upper")).select(
+        *kept, "upper.*"
+    )
+
+
 def _error(gain: Column) -> Column:
     """Squared error over total, rounded to where errors count as equal."""
     share = F.when(F.col("sst") > 0, 1 - gain / F.col("sst")).otherwise(0.0)
     return F.round(share, EQUAL_DIGITS)
 
 
-def _one_slope(hinge: str, breakpoint: str, product: str, square: str) -> tuple[Column, Column]:
-    """Unbounded slope on one hinge; the fit and its order key."""
+def _order(model: str, error: Column) -> Column:
+    """What the best fit minimises; NULL where the model cannot be fitted.
+
+    All models but 5p have one breakpoint: the diagonal of the pairs.
+    """
+    allowed = (F.col("n") >= MIN_POINTS[model]) & F.col("hp").isNotNull() & F.col("cp").isNotNull()
+    if model == "5p":
+        allowed = allowed & (F.col("highest") - F.col("lowest") >= 3)  # two candidates
+    else:
+        allowed = allowed & (F.col("hp") == F.col("cp"))
+    return F.when(allowed & error.isNotNull(), F.struct(error, F.col("hp"), F.col("cp")))
+
+
+def _one_slope(model: str, hinge: str, product: str, square: str) -> Column:
+    """Best fit with an unbounded slope on one hinge."""
     slope = F.when(F.col(square) > 0, F.col(product) / F.col(square))
     gain = slope * F.col(product)
     fit = F.struct(
         (F.col("mean_d") - slope * F.col(hinge) / F.col("n")).alias("base_kw"),
         slope.alias("slope_kw_per_f"),
-        F.col(breakpoint).alias("breakpoint_f"),
+        F.col("hp").alias("breakpoint_f"),
         F.when(F.col("sst") > 0, gain / F.col("sst")).alias("r_squared"),
     )
-    return fit, F.when(slope.isNotNull(), F.struct(_error(gain), F.col(breakpoint)))
+    return F.min_by(fit, _order(model, F.when(slope.isNotNull(), _error(gain))))
 
 
 def _two_slopes(rows: DataFrame) -> DataFrame:
@@ -166,126 +209,104 @@ def _two_slopes(rows: DataFrame) -> DataFrame:
     return rows.withColumn("gain", F.col("hs") * F.col("hd") + F.col("cs") * F.col("cd"))
 
 
-def _two_slope_fit(*breakpoints: Column) -> Column:
+def _two_slope_fit(model: str, **breakpoints: Column) -> Column:
+    """Best fit with two non-negative slopes."""
     base = F.col("mean_d") - (F.col("hs") * F.col("h1") + F.col("cs") * F.col("c1")) / F.col("n")
-    return F.struct(
+    fit = F.struct(
         base.alias("base_kw"),
         F.col("hs").alias("heating_slope_kw_per_f"),
         F.col("cs").alias("cooling_slope_kw_per_f"),
-        *breakpoints,
+        *[c.alias(name) for name, c in breakpoints.items()],
         F.when(F.col("sst") > 0, F.col("gain") / F.col("sst")).alias("r_squared"),
     )
+    return F.min_by(fit, _order(model, _error(F.col("gain"))))
 
 
-def _best_per_meter(rows: DataFrame, model: str, fit: Column, key: Column) -> DataFrame:
-    enough = F.col("n") >= MIN_POINTS[model]
-    return rows.where(enough).groupBy("meter_id").agg(F.min_by(fit, key).alias("fit"))
+def _line() -> Column:
+    """Plain line. If all temperatures are equal, the shortest solution of base + slope * T = mean."""
+    flat = F.col("sxx") == 0
+    mean_t, mean_d, sxx = F.col("mean_t"), F.col("mean_d"), F.when(F.col("sxx") > 0, F.col("sxx"))
+    slope = F.when(flat, mean_d * mean_t / (1 + mean_t * mean_t)).otherwise(F.col("sxy") / sxx)
+    gain = F.when(flat, 0.0).otherwise(F.col("sxy") * F.col("sxy") / sxx)
+    fit = F.struct(
+        F.when(flat, mean_d / (1 + mean_t * mean_t)).otherwise(mean_d - slope * mean_t).alias("base_kw"),
+        slope.alias("slope_kw_per_f"),
+        F.when(F.col("sst") > 0, gain / F.col("sst")).alias("r_squared"),
+    )
+    return F.when(F.col("n") >= MIN_POINTS["2p"], fit)
 
 
-def _finished(totals: DataFrame, best: DataFrame, model: str) -> DataFrame:
+def _best() -> dict[str, Column]:
+    """Aggregates over the breakpoints of a meter."""
+    return {
+        "3p_heating": _one_slope("3p_heating", "h1", "hd", "hh"),
+        "3p_cooling": _one_slope("3p_cooling", "c1", "cd", "cc"),
+        "4p": _two_slope_fit("4p", breakpoint_f=F.col("hp")),
+        "5p": _two_slope_fit("5p", heating_breakpoint_f=F.col("hp"), cooling_breakpoint_f=F.col("cp")),
+    }
+
+
+def _report(fits: DataFrame, model: str) -> DataFrame:
     """A row for every meter; NULL parameters and success = false where no fit exists."""
-    fields = [f.name for f in best.schema["fit"].dataType.fields]
-    rows = totals.select("meter_id", "n").join(best, "meter_id", "left")
-    return rows.select(
+    return fits.select(
         "meter_id",
-        *[F.col(f"fit.{name}").alias(name) for name in fields],
+        F.col("fit.*"),
         F.col("n").alias("n_points"),
         F.lit(METHODS[model]).alias("method"),
         F.col("fit").isNotNull().alias("success"),
     )
 
 
+def _fit(rows: DataFrame, model: str) -> DataFrame:
+    return _report(rows.groupBy("meter_id", "n").agg(_best()[model].alias("fit")), model)
+
+
 def fit_2p(points: DataFrame) -> DataFrame:
-    """Plain line. If all temperatures are equal, the shortest solution of base + slope * T = mean."""
-    totals = _totals(_paired(points))
-    flat = F.col("sxx") == 0
-    slope = F.when(flat, F.col("mean_d") * F.col("mean_t") / (1 + F.col("mean_t") * F.col("mean_t"))).otherwise(
-        F.col("sxy") / F.when(F.col("sxx") > 0, F.col("sxx"))
-    )
-    base = F.when(flat, F.col("mean_d") / (1 + F.col("mean_t") * F.col("mean_t"))).otherwise(
-        F.col("mean_d") - slope * F.col("mean_t")
-    )
-    gain = F.when(flat, 0.0).otherwise(F.col("sxy") * F.col("sxy") / F.when(F.col("sxx") > 0, F.col("sxx")))
-    best = totals.where(F.col("n") >= MIN_POINTS["2p"]).select(
-        "meter_id",
-        F.struct(
-            base.alias("base_kw"), slope.alias("slope_kw_per_f"),
-            F.when(F.col("sst") > 0, gain / F.col("sst")).alias("r_squared"),
-        ).alias("fit"),
-    )
-    return _finished(totals, best, "2p")
+    """base + slope * T."""
+    totals = _paired(points).groupBy("meter_id").agg(*[c.alias(name) for name, c in _totals().items()])
+    return _report(totals.withColumn("fit", _line()), "2p")
 
 
 def fit_3p_heating(points: DataFrame) -> DataFrame:
     """base + slope * max(p - T, 0); the slope may have either sign."""
-    pairs = _paired(points)
-    totals = _totals(pairs)
-    fit, key = _one_slope("h1", "p", "hd", "hh")
-    return _finished(totals, _best_per_meter(_hinges(pairs, totals), "3p_heating", fit, key), "3p_heating")
+    return _fit(_hinges(points), "3p_heating")
 
 
 def fit_3p_cooling(points: DataFrame) -> DataFrame:
     """base + slope * max(T - p, 0); the slope may have either sign."""
-    pairs = _paired(points)
-    totals = _totals(pairs)
-    fit, key = _one_slope("c1", "p", "cd", "cc")
-    return _finished(totals, _best_per_meter(_hinges(pairs, totals), "3p_cooling", fit, key), "3p_cooling")
+    return _fit(_hinges(points), "3p_cooling")
 
 
 def fit_4p(points: DataFrame) -> DataFrame:
     """base + hs * max(p - T, 0) + cs * max(T - p, 0) with both slopes >= 0."""
-    pairs = _paired(points)
-    totals = _totals(pairs)
-    rows = _two_slopes(_hinges(pairs, totals))
-    key = F.struct(_error(F.col("gain")), F.col("p"))
-    best = _best_per_meter(rows, "4p", _two_slope_fit(F.col("p").alias("breakpoint_f")), key)
-    return _finished(totals, best, "4p")
+    return _fit(_two_slopes(_hinges(points)), "4p")
 
 
 def fit_5p(points: DataFrame) -> DataFrame:
-    """Two breakpoints, heating at or below cooling, both slopes >= 0.
-
-    The search over pairs of whole degrees is the definition of the model; its
-    size is set by the temperature range, not by the number of readings.
-    """
-    pairs = _paired(points)
-    totals = _totals(pairs)
-    # At least two whole degrees strictly inside the range.
-    hinges = _hinges(pairs, totals.where("highest - lowest >= 3"))
-    heating = hinges.select("meter_id", "n", "sst", "mean_d", F.col("p").alias("hp"), "h1", "hh", "hd")
-    cooling = hinges.select("meter_id", F.col("p").alias("cp"), "c1", "cc", "cd")
-    rows = _two_slopes(heating.join(cooling, "meter_id").where(F.col("hp") <= F.col("cp")))
-    fit = _two_slope_fit(F.col("hp").alias("heating_breakpoint_f"), F.col("cp").alias("cooling_breakpoint_f"))
-    key = F.struct(_error(F.col("gain")), F.col("hp"), F.col("cp"))
-    return _finished(totals, _best_per_meter(rows, "5p", fit, key), "5p")
-
-
-FITS = {
-    "2p": fit_2p,
-    "3p_heating": fit_3p_heating,
-    "3p_cooling": fit_3p_cooling,
-    "4p": fit_4p,
-    "5p": fit_5p,
-}
+    """As 4p with two breakpoints, heating at or below cooling."""
+    return _fit(_two_slopes(_pairs(_hinges(points))), "5p")
 
 
 def fit_all(points: DataFrame) -> DataFrame:
-    """All five models, one row per (meter, model), with adjusted r2 where it can be formed."""
-    fits = None
-    for order, (model, fit) in enumerate(FITS.items()):
-        rows = fit(points)
-        shaped = rows.select(
-            "meter_id",
+    """All five models from one pass, one row per (meter, model), with adjusted r2 where it can be formed."""
+    rows = _two_slopes(_pairs(_hinges(points)))
+    wide = rows.groupBy("meter_id", *TOTALS).agg(*[fit.alias(model) for model, fit in _best().items()])
+    wide = wide.withColumn("2p", _line())
+
+    def entry(order: int, model: str) -> Column:
+        fields = {f.name for f in wide.schema[model].dataType.fields}
+        fit = F.col(f"`{model}`")
+        return F.struct(
             F.lit(model).alias("model"),
             F.lit(order).alias("listed"),
             F.lit(PARAMETERS[model]).alias("n_parameters"),
-            *[
-                (F.col(c) if c in rows.columns else F.lit(None).cast("double")).alias(c)
-                for c in PARAMETER_COLUMNS
-            ],
-            "r_squared", "n_points", "success",
+            *[(fit[c] if c in fields else F.lit(None).cast("double")).alias(c) for c in PARAMETER_COLUMNS],
+            fit["r_squared"].alias("r_squared"),
+            F.col("n").alias("n_points"),
+            fit.isNotNull().alias("success"),
         )
-        fits = shaped if fits is None else fits.unionByName(shaped)
+
+    fits = wide.select("meter_id", F.inline(F.array(*[entry(i, m) for i, m in enumerate(PARAMETERS)])))
     spare = F.col("n_points") - F.col("n_parameters") - 1
     return fits.withColumn(
         "adjusted_r_squared",
@@ -300,10 +321,9 @@ def select_model(points: DataFrame) -> DataFrame:
 
     Adjusted r2 that agree to 1e-9 are equal.
     """
-    fits = fit_all(points)
-    score = F.round(F.col("adjusted_r_squared"), EQUAL_DIGITS)
     order = Window.partitionBy("meter_id").orderBy(F.desc_nulls_last("score"), "n_parameters", "listed")
-    ranked = fits.withColumn("score", score).withColumn("place", F.row_number().over(order))
+    ranked = fit_all(points).withColumn("score", F.round("adjusted_r_squared", EQUAL_DIGITS))
+    ranked = ranked.withColumn("place", F.row_number().over(order))
     return ranked.withColumn(
         "is_selected", (F.col("place") == 1) & F.col("score").isNotNull()
     ).drop("score", "place", "listed")
