@@ -267,6 +267,15 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                    UNION ALL SELECT meter_id, '3p_' || kind, r2, 1 FROM single_best
                    UNION ALL SELECT meter_id, '4p', r2, 1 FROM best_4p
                    UNION ALL SELECT meter_id, '5p', r2, 1 FROM best_5p) f USING (meter_id, model)"""),
+    "vectors": (("daily",), """
+        SELECT entity_id, kind, date, list(v ORDER BY interval_index) AS vector
+        FROM (SELECT entity_id, date, interval_index, 'absolute' AS kind, demand_kw AS v FROM daily WHERE is_complete_day
+              UNION ALL
+              SELECT entity_id, date, interval_index, 'normalized',
+                     CASE WHEN max(demand_kw) OVER (PARTITION BY entity_id, date) > 0
+                          THEN demand_kw / max(demand_kw) OVER (PARTITION BY entity_id, date) END
+              FROM daily WHERE is_complete_day)
+        GROUP BY ALL HAVING count(v) = count(*)"""),
     "near": (("obs",), """
         SELECT meter_id, timestamp FROM (SELECT *, max(analysis_demand_kw) OVER (PARTITION BY meter_id) AS peak FROM obs)
         WHERE analysis_demand_kw >= 0.5 * peak"""),
@@ -549,6 +558,38 @@ FROM events_found""", "events_found")
 oracle("day_shape_flags", "SELECT * FROM shape_flags", "shape_flags")
 oracle("day_shape_primary", "SELECT entity_id, date, primary_shape FROM shapes", "shapes")
 
+def listed(expression: str, name: str) -> str:
+    """The text form of a list of doubles in checks.queries.settled."""
+    return (
+        f"array_to_string(list_transform({expression}, lambda v: CAST(round((v + {OFF_EDGE:.8f}) * 1000000) AS BIGINT)), ',')"
+        f" AS {name}"
+    )
+
+
+oracle("day_vectors", f"SELECT entity_id, kind, date, {listed('vector', 'vector')} FROM vectors", "vectors")
+SUMMARY = """
+SELECT entity_id, kind, cluster_id, cluster_size, {share}, {peak}, {spread}, {centroid}
+FROM (SELECT entity_id, kind, cluster_id, max(size) AS cluster_size, max(mean) AS peak, avg(sd) AS spread,
+             list(mean ORDER BY slot) AS centroid
+      FROM (SELECT entity_id, kind, cluster_id, slot, count(*) AS size, avg(vector[slot]) AS mean, stddev_pop(vector[slot]) AS sd
+            FROM ({labelled}) CROSS JOIN (SELECT unnest(range(1, 25)) AS slot) GROUP BY ALL)
+      GROUP BY ALL)"""
+SUMMARY_COLUMNS = {
+    "share": r(
+        "round_even(100 * cluster_size / sum(cluster_size) OVER (PARTITION BY entity_id, kind), 1)", "percentage_of_days"
+    ),
+    "peak": r("peak", "representative_peak"),
+    "spread": r("spread", "within_cluster_variability"),
+    "centroid": listed("centroid", "centroid"),
+}
+oracle("cluster_single", SUMMARY.format(labelled="""
+    SELECT *, 0 AS cluster_id FROM vectors
+    QUALIFY count(*) OVER (PARTITION BY entity_id, kind) > 1""", **SUMMARY_COLUMNS), "vectors")
+oracle("cluster_summary", SUMMARY.format(labelled="""
+    SELECT v.*, CASE WHEN peak_minute < 720 THEN 0 ELSE 1 END AS cluster_id
+    FROM vectors v JOIN features f ON v.entity_id = f.entity_id AND v.date = f.date""", **SUMMARY_COLUMNS),
+       "vectors", "features")
+
 HHMM = "lpad(CAST(bucket // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(bucket % 60 AS VARCHAR), 2, '0')"
 TIMING = f"""
 SELECT entity_id, entity_id || '_peak_timing_' || lpad(CAST(number AS VARCHAR), 3, '0') AS pattern_id,

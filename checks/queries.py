@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import tables as t
 from meterweave.operators import (
-    calendar, changepoint, coincidence, demand, events, features, gaps, groups, patterns, profiles, quality,
+    calendar, changepoint, clusters, coincidence, demand, events, features, gaps, groups, patterns, profiles, quality,
     resolution, shapes, summary, validation, weather,
 )
 from meterweave.sources import readings as sources, sinks
@@ -28,7 +28,7 @@ OFF_EDGE = 0.00000003
 
 
 def settled(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded for comparison between engines; lists of dates as text."""
+    """Doubles rounded for comparison between engines; lists of dates or numbers as text."""
     out = []
     for f in df.schema:
         c = F.col(f.name)
@@ -36,6 +36,9 @@ def settled(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.round(c + OFF_EDGE, digits)
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DateType):
             c = F.concat_ws(",", c.cast("array<string>"))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
+            millionths = F.transform(c, lambda v: F.round((v + OFF_EDGE) * 1_000_000).cast("long"))
+            c = F.concat_ws(",", millionths.cast("array<string>"))
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -404,6 +407,43 @@ def day_shape_primary(spark, sf_dir):
     return _shapes(spark, sf_dir).select("entity_id", "date", "primary_shape")
 
 
+# Clusters
+
+
+def _vectors(spark, sf_dir):
+    return clusters.both_kinds(profiles.normalized_profiles(t.daily(spark, sf_dir)))
+
+
+@query
+def day_vectors(spark, sf_dir):
+    return _vectors(spark, sf_dir)
+
+
+@query
+def cluster_days(spark, sf_dir):
+    return clusters.cluster_days(_vectors(spark, sf_dir), n_clusters=2).drop("vector")
+
+
+@query
+def cluster_auto_k(spark, sf_dir):
+    return clusters.cluster_choice(clusters.cluster_days(_vectors(spark, sf_dir)))
+
+
+@query
+def cluster_single(spark, sf_dir):
+    """One cluster per series: the centroid is the mean day."""
+    return clusters.cluster_summary(clusters.cluster_days(_vectors(spark, sf_dir), n_clusters=1))
+
+
+@query
+def cluster_summary(spark, sf_dir):
+    """Summary for given labels: days that peak before noon and the others."""
+    labels = t.features(spark, sf_dir).select(
+        "entity_id", "date", F.when(F.col("peak_minute") < 720, 0).otherwise(1).alias("cluster_id")
+    )
+    return clusters.cluster_summary(_vectors(spark, sf_dir).join(labels, ["entity_id", "date"]))
+
+
 # Patterns, coincidence, summary
 
 
