@@ -411,7 +411,7 @@ def day_shape_primary(spark, sf_dir):
 
 
 def _vectors(spark, sf_dir):
-    return clusters.both_kinds(profiles.normalized_profiles(t.daily(spark, sf_dir)))
+    return clusters.day_vectors(t.daily(spark, sf_dir))
 
 
 @query

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from meterweave.operators.profiles import normalized_profiles
 from meterweave.session import cut_lineage
 
 # Tasks get the functions below with the job, wherever this package is installed.
@@ -30,21 +31,23 @@ BLOCK_DAYS = 1024
 STILL = 1e-9
 
 
-def day_vectors(profiles: DataFrame, value: str = "demand_kw", kind: str = "absolute") -> DataFrame:
-    """(entity_id, kind, date, vector) for complete days without a missing cell."""
-    days = profiles.where("is_complete_day").groupBy("entity_id", "date").agg(
-        F.sort_array(F.collect_list(F.struct("interval_index", F.col(value).alias("v")))).alias("cells"),
-        F.count(F.lit(1)).alias("n"),
-        F.count(value).alias("known"),
-    )
-    return days.where("n = known").select(
-        "entity_id", F.lit(kind).alias("kind"), "date", F.col("cells.v").alias("vector")
-    )
+# Kind of vector -> profile column.
+KINDS = {"absolute": "demand_kw", "normalized": "normalized_demand"}
 
 
-def both_kinds(normalized: DataFrame) -> DataFrame:
-    """Absolute and peak-normalized day vectors of normalized profiles."""
-    return day_vectors(normalized).unionByName(day_vectors(normalized, "normalized_demand", "normalized"))
+def day_vectors(profiles: DataFrame, kinds: tuple[str, ...] = ("absolute", "normalized")) -> DataFrame:
+    """(entity_id, kind, date, vector) for complete days without a missing cell.
+
+    Profiles are laid out by day already; both kinds are gathered in one pass.
+    """
+    cells = normalized_profiles(profiles.where("is_complete_day"))
+    columns = [KINDS[kind] for kind in kinds]
+    days = cells.groupBy("entity_id", "date").agg(
+        F.sort_array(F.collect_list(F.struct("interval_index", *columns))).alias("cells")
+    )
+    vectors = F.array(*[F.struct(F.lit(k).alias("kind"), F.col("cells")[KINDS[k]].alias("vector")) for k in kinds])
+    known = ~F.exists("vector", lambda v: v.isNull())
+    return days.select("entity_id", "date", F.inline(vectors)).where(known).select(*SERIES, "date", "vector")
 
 
 # Work on one block
@@ -173,6 +176,11 @@ def _add_up(arrays: str) -> Column:
     )
 
 
+def _laid_out(rows: DataFrame, key: list[str]) -> DataFrame:
+    """By key into the session's number of partitions: the work per row is far above its bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+
+
 def _if_both(work, columns: str):
     """Skip a key that has rows on one side only: days are hashed to blocks, and one may stay empty."""
     names = [field.split()[0] for field in columns.split(", ")]
@@ -187,7 +195,8 @@ def _over_blocks(days: DataFrame, models: DataFrame, work, columns: str) -> Data
     """Bring each block together with the models of its series."""
     spread = models.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     key = [*SERIES, "block"]
-    return days.groupBy(*key).cogroup(spread.groupBy(*key)).applyInPandas(_if_both(work, columns), columns)
+    left, right = _laid_out(days, key), _laid_out(spread, key)
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_if_both(work, columns), columns)
 
 
 def _placed(vectors: DataFrame, block_days: int) -> DataFrame:
@@ -251,8 +260,8 @@ def _silhouettes(labelled: DataFrame) -> DataFrame:
     """
     key = [*SERIES, "mine", "other"]
     blocks = F.sequence(F.lit(0), F.col("n_blocks") - 1)
-    left = labelled.withColumn("mine", F.col("block")).withColumn("other", F.explode(blocks))
-    right = labelled.withColumn("other", F.col("block")).withColumn("mine", F.explode(blocks))
+    left = _laid_out(labelled.withColumn("mine", F.col("block")).withColumn("other", F.explode(blocks)), key)
+    right = _laid_out(labelled.withColumn("other", F.col("block")).withColumn("mine", F.explode(blocks)), key)
     columns = "entity_id string, kind string, date date, k int, label int, sums array<double>"
     sums = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_if_both(_distances, columns), columns)
     days = sums.groupBy(*SERIES, "k", "date", "label").agg(_add_up("sums").alias("sums"))
@@ -293,7 +302,7 @@ def cluster_days(
     silhouette, the smaller k on a tie, and one cluster below four days. A fixed
     k needs at least k days.
     """
-    days = cut_lineage(_placed(vectors, block_days).repartition(*SERIES, "block"))
+    days = _placed(cut_lineage(vectors), block_days)
     series = days.select(*SERIES, "n_days", "n_blocks").distinct()
     if n_clusters == "auto":
         low = F.when(F.col("n_days") < 4, 1).otherwise(2)
