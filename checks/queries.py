@@ -79,9 +79,7 @@ def write_outputs(spark, sf_dir):
     folder = f"{checkpoint_dir(spark)}/outputs-{sf_dir.strip('/').split('/')[-1]}"
     paths = sinks.write_outputs({"daily_features": t.features(spark, sf_dir)}, folder)
     written = spark.read.parquet(paths["daily_features"])
-    return written.select(
-        F.col("entity_id").cast("string").alias("entity_id"), "date", "daily_energy_kwh", "is_complete_day"
-    )
+    return written.select("entity_id", "date", "daily_energy_kwh", "is_complete_day")
 
 
 # Validation, duplicates, resolution, calendar
@@ -312,34 +310,39 @@ def weekday_daily_means(spark, sf_dir):
 # Change points
 
 
+def _points(spark, sf_dir):
+    """Settled, because a mean a hair above a whole degree has another breakpoint grid."""
+    return settled(weekday_daily_means(spark, sf_dir))
+
+
 @query
 def cp_2p(spark, sf_dir):
-    return changepoint.fit_2p(weekday_daily_means(spark, sf_dir))
+    return changepoint.fit_2p(_points(spark, sf_dir))
 
 
 @query
 def cp_3p_cooling(spark, sf_dir):
-    return changepoint.fit_3p_cooling(weekday_daily_means(spark, sf_dir))
+    return changepoint.fit_3p_cooling(_points(spark, sf_dir))
 
 
 @query
 def cp_3p_heating(spark, sf_dir):
-    return changepoint.fit_3p_heating(weekday_daily_means(spark, sf_dir))
+    return changepoint.fit_3p_heating(_points(spark, sf_dir))
 
 
 @query
 def cp_4p(spark, sf_dir):
-    return changepoint.fit_4p(weekday_daily_means(spark, sf_dir))
+    return changepoint.fit_4p(_points(spark, sf_dir))
 
 
 @query
 def cp_5p(spark, sf_dir):
-    return changepoint.fit_5p(weekday_daily_means(spark, sf_dir))
+    return changepoint.fit_5p(_points(spark, sf_dir))
 
 
 @query
 def cp_select(spark, sf_dir):
-    return changepoint.select_model(weekday_daily_means(spark, sf_dir)).select(
+    return changepoint.select_model(_points(spark, sf_dir)).select(
         "meter_id", "model", "n_points", "r_squared", "adjusted_r_squared", "success", "is_selected"
     )
 

@@ -302,7 +302,7 @@ def cluster_days(
     silhouette, the smaller k on a tie, and one cluster below four days. A fixed
     k needs at least k days.
     """
-    days = _placed(cut_lineage(vectors), block_days)
+    days = cut_lineage(_placed(cut_lineage(vectors), block_days))
     series = days.select(*SERIES, "n_days", "n_blocks").distinct()
     if n_clusters == "auto":
         low = F.when(F.col("n_days") < 4, 1).otherwise(2)

@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_table(
-    df: DataFrame, path: str, file_format: str = "csv", partition_by: tuple[str, ...] = ("entity_id",)
-) -> None:
-    """One folder per entity (or other key) below `path`.
+def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> None:
+    """Files with the rows of a key together and sorted, so that a reader of one key skips most of them.
 
-    The rebalance hint gathers the rows of a key into few files and lets Spark
-    split a key that is too large for one task.
+    The rebalance hint evens out file sizes and lets Spark split a key that is too large for one task.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    keys = [c for c in ("entity_id", "meter_id", "date", "timestamp") if c in df.columns]
+    if keys:
+        df = df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
+    _save(df.write.mode("overwrite"), path, file_format)
+
+
+def write_per_entity(df: DataFrame, path: str, file_format: str = "csv", key: str = "entity_id") -> None:
+    """One folder per entity, for consumers that open an entity's files by name.
+
+    Folders are as many as entities; for many meters write_table is the better layout.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(n, key)
+    _save(rows.write.mode("overwrite").partitionBy(key), path, file_format)
+
+
+def _save(writer, path: str, file_format: str) -> None:
     if file_format == "csv":
         writer.option("header", True).csv(path)
     else:
@@ -23,22 +34,27 @@ def write_table(
 
 
 def write_outputs(
-    tables: dict[str, DataFrame], folder: str, file_format: str = "parquet"
+    tables: dict[str, DataFrame], folder: str, file_format: str = "parquet", per_entity: bool = False
 ) -> dict[str, str]:
     """Write each named table below `folder`; returns the path of each.
 
-    Tables of entities are partitioned by entity, tables of meters by day or not
-    at all. Only rows that exist are written, so an entity without patterns or
-    events has no folder.
+    Only rows that exist are written: per entity, one without patterns or events has no folder.
+    Lists of dates become text in CSV.
     """
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{folder}/{name}"
-        if "entity_id" in df.columns:
-            keys: tuple[str, ...] = ("entity_id",)
-        elif "date" in df.columns:
-            keys = ("date",)
+        if file_format == "csv":
+            df = df.selectExpr(
+                *[
+                    f"concat_ws(';', cast({f.name} AS array<string>)) AS {f.name}"
+                    if f.dataType.typeName() == "array"
+                    else f.name
+                    for f in df.schema
+                ]
+            )
+        if per_entity and "entity_id" in df.columns:
+            write_per_entity(df, paths[name], file_format)
         else:
-            keys = ()
-        write_table(df, paths[name], file_format, keys)
+            write_table(df, paths[name], file_format)
     return paths
