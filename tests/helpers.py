@@ -7,7 +7,7 @@ START = datetime(2025, 1, 1)
 
 def series(spark, values, key="entity_id", name="X", minutes=60, start=START, column="demand_kw"):
     """One series on a grid; None is a row with a missing value."""
-    rows = [(name, start + timedelta(minutes=minutes * i), v) for i, v in enumerate(values)]
+    rows = [(name, start + timedelta(minutes=minutes * i), None if v is None else float(v)) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, f"{key} string, timestamp timestamp_ntz, {column} double")
 
 
