@@ -6,19 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from meterweave.plans.days import join_facts
+
 
 def exact_percentiles(
     rows: DataFrame, key: str, value: str, probabilities: Sequence[float], accuracy: int = 10_000
 ) -> DataFrame:
     """(key, which, cutoff): percentile number `which`, linearly interpolated between ranks.
 
+    Rows are a series by day: they have a column `date`.
+
     A mergeable sketch brackets each percentile within 3/accuracy of the rows of
     its key; its rank error is at most 1/accuracy, so the two order statistics
     sought lie inside. One more pre-aggregated pass counts the rows below the
     bracket and the distinct values in it, and only those are ranked. A key with
     no more than `accuracy` rows is ranked as it is.
     """
-    known = rows.select(key, value).where(F.col(value).isNotNull())
+    known = rows.select(key, "date", value).where(F.col(value).isNotNull())
     margin = 3 / accuracy
     low = [max(p - margin, 0.0) for p in probabilities]
     high = [min(p + margin, 1.0) for p in probabilities]
@@ -41,7 +45,7 @@ def exact_percentiles(
     )
     brackets = sketch.select(key, "n", targets.alias("targets"))
     counted = (
-        known.join(brackets, key)
+        join_facts(known, [key], brackets, "inner")
         .select(key, value, "n", F.inline("targets"))
         .where(F.col("high").isNull() | (F.col(value) <= F.col("high")))
         .withColumn("v", F.when(F.col("low").isNull() | (F.col(value) >= F.col("low")), F.col(value)))

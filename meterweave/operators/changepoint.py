@@ -258,7 +258,8 @@ def _report(fits: DataFrame, model: str) -> DataFrame:
 
 
 def _fit(rows: DataFrame, model: str) -> DataFrame:
-    return _report(rows.groupBy("meter_id", "n").agg(_best()[model].alias("fit")), model)
+    # Rows arrive sorted by meter; grouping by it alone needs no further sort.
+    return _report(rows.groupBy("meter_id").agg(F.first("n").alias("n"), _best()[model].alias("fit")), model)
 
 
 def fit_2p(points: DataFrame) -> DataFrame:
@@ -290,7 +291,9 @@ def fit_5p(points: DataFrame) -> DataFrame:
 def fit_all(points: DataFrame) -> DataFrame:
     """All five models from one pass, one row per (meter, model), with adjusted r2 where it can be formed."""
     rows = _two_slopes(_pairs(_hinges(points)))
-    wide = rows.groupBy("meter_id", *TOTALS).agg(*[fit.alias(model) for model, fit in _best().items()])
+    wide = rows.groupBy("meter_id").agg(
+        *[F.first(c).alias(c) for c in TOTALS], *[fit.alias(model) for model, fit in _best().items()]
+    )
     wide = wide.withColumn("2p", _line())
 
     def entry(order: int, model: str) -> Column:

@@ -4,39 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from meterweave.plans.days import join_facts, with_date
+
 KW = "analysis_demand_kw"
 
 
-def _member_rows(observations: DataFrame, members: DataFrame) -> DataFrame:
-    pairs = members.select("entity_id", "meter_id").distinct()
-    return observations.select("meter_id", "timestamp", KW).join(pairs, "meter_id")
+METER = ["meter_id"]
+
+
+def _pairs(members: DataFrame) -> DataFrame:
+    return members.select("entity_id", "meter_id").distinct()
+
+
+def _rows(observations: DataFrame) -> DataFrame:
+    return with_date(observations).select("meter_id", "date", "timestamp", KW)
 
 
 def _aggregate(observations: DataFrame, members: DataFrame) -> DataFrame:
-    return _member_rows(observations, members).groupBy("entity_id", "timestamp").agg(
-        F.sum(KW).alias("aggregate_demand_kw")
-    )
+    joined = join_facts(_rows(observations), METER, _pairs(members), "inner")
+    return joined.groupBy("entity_id", "timestamp").agg(F.sum(KW).alias("aggregate_demand_kw"))
+
+
+def _peaks(observations: DataFrame) -> DataFrame:
+    return observations.groupBy("meter_id").agg(F.max(KW).alias("peak"))
 
 
 def peak_contribution(observations: DataFrame, members: DataFrame, top_n: int = 10) -> DataFrame:
     """Each member's demand and share at the entity's `top_n` stamps by summed demand.
 
     Equal sums are taken in order of time. A member without a value keeps its row
-    with NULLs, a member without a row at the stamp has none.
+    with NULLs, a member without a row at the stamp has none. The top stamps are
+    given to the members, which look up only these.
     """
     order = Window.partitionBy("entity_id").orderBy(F.desc_nulls_last("aggregate_demand_kw"), "timestamp")
     top = (
         _aggregate(observations, members)
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= top_n)
+        .drop("rank")
     )
+    wanted = top.join(_pairs(members), "entity_id")
     share = F.when(
         F.col("aggregate_demand_kw") != 0, F.col("meter_demand_kw") / F.col("aggregate_demand_kw") * 100
     )
     return (
-        _member_rows(observations, members)
-        .join(top, ["entity_id", "timestamp"])
+        _rows(observations)
         .withColumnRenamed(KW, "meter_demand_kw")
+        .join(wanted, ["meter_id", "timestamp"])
         .select(
             "entity_id", "timestamp", "aggregate_demand_kw", "meter_id", "meter_demand_kw",
             share.alias("pct_contribution"),
@@ -52,11 +66,9 @@ def interval_coincidence(
     Only rows near a peak are joined to the entities and counted per stamp. A
     member that never reports has a row of zeros.
     """
-    pairs = members.select("entity_id", "meter_id").distinct()
-    peaks = observations.groupBy("meter_id").agg(F.max(KW).alias("peak"))
+    pairs = _pairs(members)
     near = (
-        observations.select("meter_id", "timestamp", KW)
-        .join(peaks, "meter_id")
+        join_facts(_rows(observations), METER, _peaks(observations), "inner")
         .where(F.col(KW) >= share_of_peak * F.col("peak"))
         .select("meter_id", "timestamp")
         .join(pairs, "meter_id")
@@ -82,9 +94,7 @@ def interval_coincidence(
 
 def diversity_factor(observations: DataFrame, members: DataFrame) -> DataFrame:
     """Sum of the members' peaks over the peak of their sum, per entity."""
-    peaks = observations.groupBy("meter_id").agg(F.max(KW).alias("peak"))
-    pairs = members.select("entity_id", "meter_id").distinct()
-    own = pairs.join(peaks, "meter_id").groupBy("entity_id").agg(
+    own = _pairs(members).join(_peaks(observations), "meter_id").groupBy("entity_id").agg(
         F.coalesce(F.sum("peak"), F.lit(0.0)).alias("sum_of_individual_peaks_kw")
     )
     joint = _aggregate(observations, members).groupBy("entity_id").agg(

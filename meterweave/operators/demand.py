@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterweave.functions.quantiles import exact_percentiles
-from meterweave.plans.days import with_neighbours
+from meterweave.plans.days import join_facts, with_date, with_neighbours
 
 ENTITY = ["entity_id"]
 KW = "demand_kw"
@@ -32,11 +32,12 @@ def class_threshold(load: DataFrame, thresholds: Sequence[float]) -> DataFrame:
 def class_percentile(load: DataFrame, percentiles: Sequence[float]) -> DataFrame:
     """Add top_pct_<p> per percentile: demand at or above the entity's exact percentile."""
     names = _distinct([f"top_pct_{round(p * 100)}" for p in percentiles])
+    load = with_date(load)
     cutoffs = exact_percentiles(load, "entity_id", KW, percentiles)
     wide = cutoffs.groupBy("entity_id").agg(
         *[F.max(F.when(F.col("which") == i, F.col("cutoff"))).alias(f"_{n}") for i, n in enumerate(names)]
     )
-    flagged = load.join(wide, "entity_id", "left").withColumns(
+    flagged = join_facts(load, ENTITY, wide).withColumns(
         {n: F.coalesce(F.col(KW) >= F.col(f"_{n}"), F.lit(False)) for n in names}
     )
     return flagged.drop(*[f"_{n}" for n in names])
@@ -67,7 +68,7 @@ def class_rank(load: DataFrame, tops: Sequence[int]) -> DataFrame:
         same = (F.col(KW) == cut[KW]) & (F.col("timestamp") <= cut["timestamp"])
         return F.coalesce(larger | same, F.lit(False))
 
-    flagged = load.join(cuts, "entity_id", "left").withColumns({n: within(n) for n in names})
+    flagged = join_facts(with_date(load), ENTITY, cuts).withColumns({n: within(n) for n in names})
     return flagged.drop(*[f"_{n}" for n in names])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from meterweave import schema
-from meterweave.plans.days import by_day
+from meterweave.plans.days import by_day, join_facts, with_date
 
 ENTITY = ["entity_id"]
 
@@ -16,17 +16,18 @@ def entity_load(
     """(entity_id, entity_type, date, timestamp, demand_kw, n_meters_reporting), laid out by day.
 
     A single meter is its own series and passes through. Groups are summed over
-    the members that report; a stamp where none does is NULL. The sum is formed
-    per task before the shuffle, so a portfolio of all meters is no hot key.
+    the members that report; a stamp where none does is NULL. Observations stay
+    where they lie: members come to their days, and sums are formed per task
+    before the shuffle, so a portfolio of all meters is no hot key.
     """
-    rows = observations.select("meter_id", "date", "timestamp", F.col(demand).alias("demand_kw"))
+    rows = with_date(observations).select("meter_id", "date", "timestamp", F.col(demand).alias("demand_kw"))
     single = members.where(F.col("entity_type") == schema.METER)
-    alone = rows.join(single, "meter_id").select(
+    alone = join_facts(rows, ["meter_id"], single, "inner").select(
         "entity_id", "entity_type", "date", "timestamp", "demand_kw",
         F.col("demand_kw").isNotNull().cast("long").alias("n_meters_reporting"),
     )
     rolled = (
-        rows.join(members.where(F.col("entity_type") != schema.METER), "meter_id")
+        join_facts(rows, ["meter_id"], members.where(F.col("entity_type") != schema.METER), "inner")
         .groupBy("entity_id", "entity_type", "date", "timestamp")
         .agg(F.sum("demand_kw").alias("demand_kw"), F.count("demand_kw").alias("n_meters_reporting"))
     )

@@ -68,6 +68,17 @@ def join_day_state(rows: DataFrame, keys: list[str], days: DataFrame) -> DataFra
     return rows.join(days, [*keys, "date"], "left")
 
 
+def join_facts(rows: DataFrame, keys: list[str], facts: DataFrame, how: str = "left") -> DataFrame:
+    """Join facts of a series (by `keys`) to its rows without gathering the series.
+
+    The facts go to the days of the series first, one row each, and from there
+    to the rows by (series, date), the layout the rows have. A join on the
+    series alone would shuffle all rows and put a hot series into one place.
+    """
+    days = rows.select(*keys, "date").distinct().join(facts, keys)
+    return rows.join(days, [*keys, "date"], how)
+
+
 def with_neighbours(
     rows: DataFrame,
     keys: list[str],
