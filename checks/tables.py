@@ -52,11 +52,14 @@ def meter_name(c: str) -> Column:
     return F.concat(F.lit("m"), F.col(c).cast("string"))
 
 
+def at_minute(minute: Column) -> Column:
+    """The naive stamp that many minutes into the day of ts; no time zone is involved."""
+    return F.timestamp_add("MINUTE", minute, F.to_date("ts").cast("timestamp_ntz"))
+
+
 def interval_end(minutes: int) -> Column:
     """End of the interval that holds ts, counted within its hour."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    ended = (F.floor(F.minute("ts") / minutes) + 1) * minutes
-    return F.timestamp_add("MINUTE", ended, hour)
+    return at_minute(F.hour("ts") * 60 + (F.floor(F.minute("ts") / minutes) + 1) * minutes)
 
 
 def temperature(ts: str) -> Column:
@@ -104,7 +107,7 @@ MAPPING = {"timestamp": "read_at", "meter_id": "device", "demand_kw": "kw"}
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly site temperature at the full hours that have events."""
-    hours = table(spark, sf_dir, "events").select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"))
+    hours = table(spark, sf_dir, "events").select(at_minute(F.hour("ts") * 60).alias("timestamp"))
     return hours.distinct().withColumn("temperature_f", temperature("timestamp"))
 
 

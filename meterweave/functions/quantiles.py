@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -12,15 +14,14 @@ from meterweave.plans.days import join_facts
 def exact_percentiles(
     rows: DataFrame, key: str, value: str, probabilities: Sequence[float], accuracy: int = 10_000
 ) -> DataFrame:
-    """(key, which, cutoff): percentile number `which`, linearly interpolated between ranks.
-
-    Rows are a series by day: they have a column `date`.
-
-    A mergeable sketch brackets each percentile within 3/accuracy of the rows of
-    its key; its rank error is at most 1/accuracy, so the two order statistics
-    sought lie inside. One more pre-aggregated pass counts the rows below the
-    bracket and the distinct values in it, and only those are ranked. A key with
-    no more than `accuracy` rows is ranked as it is.
+    """(key, cutoffs): an array with each percentile, linearly interpolated between ranks.
+
+    Rows are a series by day: they have a column `date`. A mergeable sketch
+    brackets each percentile within 3/accuracy of the rows of its key; its rank
+    error is at most 1/accuracy, so the two order statistics sought lie inside.
+    One more pre-aggregated pass counts the distinct values inside the brackets
+    and, as one number each, the rows between them; only these counts are
+    ranked. A key with no more than `accuracy` rows is ranked as it is.
     """
     known = rows.select(key, "date", value).where(F.col(value).isNotNull())
     margin = 3 / accuracy
@@ -31,35 +32,27 @@ def exact_percentiles(
         F.percentile_approx(value, low, accuracy).alias("low"),
         F.percentile_approx(value, high, accuracy).alias("high"),
     )
-    small = F.col("n") <= accuracy
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("which"),
-                F.lit(float(p)).alias("p"),
-                F.when(~small, F.col("low")[i]).alias("low"),
-                F.when(~small, F.col("high")[i]).alias("high"),
-            )
-            for i, p in enumerate(probabilities)
-        ]
-    )
-    brackets = sketch.select(key, "n", targets.alias("targets"))
+    v, small = F.col(value), F.col("n") <= accuracy
+    inside = reduce(or_, [v.between(F.col("low")[i], F.col("high")[i]) for i in range(len(low))], small)
+    brackets_below = sum((v > F.col("high")[i]).cast("int") for i in range(len(high)))
     counted = (
-        join_facts(known, [key], brackets, "inner")
-        .select(key, value, "n", F.inline("targets"))
-        .where(F.col("high").isNull() | (F.col(value) <= F.col("high")))
-        .withColumn("v", F.when(F.col("low").isNull() | (F.col(value) >= F.col("low")), F.col(value)))
-        .groupBy(key, "which", "p", "n", "v")
+        join_facts(known, [key], sketch, "inner")
+        .groupBy(
+            key, "n",
+            F.when(small, 0).otherwise(brackets_below).alias("zone"),
+            F.when(inside, v).alias("v"),
+        )
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    upto = Window.partitionBy(key, "which").orderBy(F.asc_nulls_first("v"))
-    place = F.col("p") * (F.col("n") - 1)
-    ranked = counted.withColumn("upto", F.sum("copies").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-    found = ranked.groupBy(key, "which").agg(
-        F.min(F.when(F.col("upto") > F.floor(place), F.col("v"))).alias("lower"),
-        F.min(F.when(F.col("upto") > F.ceil(place), F.col("v"))).alias("upper"),
-        F.first(place - F.floor(place)).alias("part"),
-    )
-    return found.select(
-        key, "which", (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("part")).alias("cutoff")
-    )
+    upto = Window.partitionBy(key).orderBy("zone", F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("upto", F.sum("copies").over(upto))
+    found, cutoffs = [], []
+    for i, p in enumerate(probabilities):
+        place = F.lit(float(p)) * (F.col("n") - 1)
+        found += [
+            F.min(F.when(F.col("upto") > F.floor(place), F.col("v"))).alias(f"lower{i}"),
+            F.min(F.when(F.col("upto") > F.ceil(place), F.col("v"))).alias(f"upper{i}"),
+        ]
+        part = place - F.floor(place)
+        cutoffs.append(F.col(f"lower{i}") + (F.col(f"upper{i}") - F.col(f"lower{i}")) * part)
+    return ranked.groupBy(key, "n").agg(*found).select(key, F.array(*cutoffs).alias("cutoffs"))

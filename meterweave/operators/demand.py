@@ -34,13 +34,10 @@ def class_percentile(load: DataFrame, percentiles: Sequence[float]) -> DataFrame
     names = _distinct([f"top_pct_{round(p * 100)}" for p in percentiles])
     load = with_date(load)
     cutoffs = exact_percentiles(load, "entity_id", KW, percentiles)
-    wide = cutoffs.groupBy("entity_id").agg(
-        *[F.max(F.when(F.col("which") == i, F.col("cutoff"))).alias(f"_{n}") for i, n in enumerate(names)]
+    flagged = join_facts(load, ENTITY, cutoffs).withColumns(
+        {n: F.coalesce(F.col(KW) >= F.col("cutoffs")[i], F.lit(False)) for i, n in enumerate(names)}
     )
-    flagged = join_facts(load, ENTITY, wide).withColumns(
-        {n: F.coalesce(F.col(KW) >= F.col(f"_{n}"), F.lit(False)) for n in names}
-    )
-    return flagged.drop(*[f"_{n}" for n in names])
+    return flagged.drop("cutoffs")
 
 
 def class_rank(load: DataFrame, tops: Sequence[int]) -> DataFrame:

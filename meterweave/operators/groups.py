@@ -16,19 +16,17 @@ from meterweave.session import cut_lineage
 def descendants(group_children: DataFrame) -> DataFrame:
     """All pairs (parent, child) connected by one or more steps.
 
-    Paths double in length with each round, so a tree of depth d takes log2(d)
-    rounds. A cycle shows as a pair (a, a) and does not prevent the end.
+    Paths up to twice the length known are added each round, so a tree of depth d
+    takes log2(d) rounds. A cycle shows as a pair (a, a) and does not prevent the end.
     """
-    reach = group_children.select("parent", "child").distinct()
-    known = reach.count()
+    reach = cut_lineage(group_children.select("parent", "child").distinct())
     while True:
         onward = reach.select(F.col("parent").alias("child"), F.col("child").alias("further"))
-        longer = reach.join(onward, "child").select("parent", F.col("further").alias("child"))
-        reach = cut_lineage(reach.unionByName(longer).distinct())
-        total = reach.count()
-        if total == known:
+        longer = reach.join(onward, "child").select("parent", F.col("further").alias("child")).distinct()
+        added = cut_lineage(longer.join(reach, ["parent", "child"], "left_anti"))
+        if added.isEmpty():
             return reach
-        known = total
+        reach = reach.unionByName(added)
 
 
 def group_tree_check(

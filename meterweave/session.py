@@ -17,6 +17,8 @@ def session(app: str = "meterweave", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # An analysis has more generated classes than the default of 100 keeps; evicted ones
         # are compiled again and start out interpreted.
         "spark.sql.codegen.cache.maxEntries": "5000",
