@@ -12,7 +12,7 @@ from meterweave.operators import (
     resolution, shapes, summary, validation, weather,
 )
 from meterweave.sources import readings as sources, sinks
-from meterweave.session import checkpoint_dir
+from meterweave.session import checkpoint_dir, partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,7 +44,12 @@ def settled(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = lambda spark, sf_dir: settled(build(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # The default of 200 partitions is for clusters; on one machine go by its cores.
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions(spark)))
+        return settled(build(spark, sf_dir))
+
+    QUERIES[build.__name__] = run
     return build
 
 

@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterweave.operators.profiles import normalized_profiles
-from meterweave.session import cut_lineage
+from meterweave.session import cut_lineage, partitions
 
 # Tasks get the functions below with the job, wherever this package is installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -176,9 +176,9 @@ def _add_up(arrays: str) -> Column:
     )
 
 
-def _laid_out(rows: DataFrame, key: list[str]) -> DataFrame:
-    """By key into the session's number of partitions: the work per row is far above its bytes."""
-    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+def _tasks(days: DataFrame, blocks: int) -> int:
+    """A few blocks per task, up to the session's partitions: the work per row is far above its bytes."""
+    return min(partitions(days.sparkSession), 1 + blocks // 4)
 
 
 def _if_both(work, columns: str):
@@ -191,11 +191,11 @@ def _if_both(work, columns: str):
     return run
 
 
-def _over_blocks(days: DataFrame, models: DataFrame, work, columns: str) -> DataFrame:
+def _over_blocks(days: DataFrame, models: DataFrame, work, columns: str, tasks: int) -> DataFrame:
     """Bring each block together with the models of its series."""
     spread = models.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     key = [*SERIES, "block"]
-    left, right = _laid_out(days, key), _laid_out(spread, key)
+    left, right = days.repartition(tasks, *key), spread.repartition(tasks, *key)
     return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_if_both(work, columns), columns)
 
 
@@ -205,7 +205,9 @@ def _placed(vectors: DataFrame, block_days: int) -> DataFrame:
     return rows.withColumn("block", F.pmod(F.xxhash64("date"), F.col("n_blocks")).cast("int"))
 
 
-def _seeded(days: DataFrame, series: DataFrame, restarts: int, seed: int, passes: int, spread: bool) -> DataFrame:
+def _seeded(
+    days: DataFrame, series: DataFrame, restarts: int, seed: int, passes: int, spread: bool, tasks: int
+) -> DataFrame:
     states = series.select(
         *SERIES, "n_blocks", "k_max",
         F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart"),
@@ -213,20 +215,20 @@ def _seeded(days: DataFrame, series: DataFrame, restarts: int, seed: int, passes
     )
     columns = "entity_id string, kind string, restart int, k_max int, n_blocks int, race double, seeds array<double>"
     for _ in range(passes):
-        grown = _over_blocks(days, states, _grow_seeds(seed), columns)
+        grown = _over_blocks(days, states, _grow_seeds(seed), columns, tasks)
         states = grown.groupBy(*SERIES, "restart", "k_max", "n_blocks").agg(F.min_by("seeds", "race").alias("seeds"))
         if spread:
             states = cut_lineage(states)
     return states
 
 
-def _settled(days: DataFrame, models: DataFrame, max_iter: int, spread: bool) -> DataFrame:
+def _settled(days: DataFrame, models: DataFrame, max_iter: int, spread: bool, tasks: int) -> DataFrame:
     columns = (
         "entity_id string, kind string, k int, restart int, n_blocks int, cluster int, size double, "
         "total array<double>, centre array<double>, error double"
     )
     for _ in range(max_iter if spread else 1):
-        sums = _over_blocks(days, models, _move_centres(max_iter), columns)
+        sums = _over_blocks(days, models, _move_centres(max_iter), columns, tasks)
         clusters = sums.groupBy(*SERIES, "k", "restart", "n_blocks", "cluster").agg(
             F.sum("size").alias("size"), _add_up("total").alias("total"),
             F.first("centre").alias("old"), F.sum("error").alias("error"),
@@ -252,7 +254,7 @@ def _settled(days: DataFrame, models: DataFrame, max_iter: int, spread: bool) ->
     return models
 
 
-def _silhouettes(labelled: DataFrame) -> DataFrame:
+def _silhouettes(labelled: DataFrame, tasks: int) -> DataFrame:
     """Mean Euclidean silhouette per (series, k), NULL below two non-empty clusters.
 
     Blocks meet pairwise and return one row per day with a sum per cluster; pairs
@@ -260,8 +262,8 @@ def _silhouettes(labelled: DataFrame) -> DataFrame:
     """
     key = [*SERIES, "mine", "other"]
     blocks = F.sequence(F.lit(0), F.col("n_blocks") - 1)
-    left = _laid_out(labelled.withColumn("mine", F.col("block")).withColumn("other", F.explode(blocks)), key)
-    right = _laid_out(labelled.withColumn("other", F.col("block")).withColumn("mine", F.explode(blocks)), key)
+    left = labelled.withColumn("mine", F.col("block")).withColumn("other", F.explode(blocks)).repartition(tasks, *key)
+    right = labelled.withColumn("other", F.col("block")).withColumn("mine", F.explode(blocks)).repartition(tasks, *key)
     columns = "entity_id string, kind string, date date, k int, label int, sums array<double>"
     sums = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_if_both(_distances, columns), columns)
     days = sums.groupBy(*SERIES, "k", "date", "label").agg(_add_up("sums").alias("sums"))
@@ -311,9 +313,11 @@ def cluster_days(
         low = high = F.lit(int(n_clusters))
         series = series.where(F.col("n_days") >= int(n_clusters))
     series = series.withColumn("k_min", low).withColumn("k_max", high)
-    most = series.agg(F.max("n_blocks").alias("blocks"), F.max("k_max").alias("k")).first()
-    spread = (most.blocks or 1) > 1
-    seeds = _seeded(days, series, restarts, seed, most.k if spread else 1, spread)
+    extent = series.agg(
+        F.max("n_blocks").alias("longest"), F.sum("n_blocks").alias("blocks"), F.max("k_max").alias("k")
+    ).first()
+    spread, tasks = (extent.longest or 1) > 1, _tasks(days, extent.blocks or 0)
+    seeds = _seeded(days, series, restarts, seed, extent.k if spread else 1, spread, tasks)
     width = F.size("seeds") / F.col("k_max")
     models = seeds.join(series.select(*SERIES, "k_min"), SERIES).withColumn(
         "k", F.explode(F.sequence("k_min", "k_max"))
@@ -321,7 +325,7 @@ def cluster_days(
         *SERIES, "k", "restart", "n_blocks",
         F.slice("seeds", F.lit(1), (width * F.col("k")).cast("int")).alias("centres"),
     )
-    settled = _settled(days, models, max_iter, spread)
+    settled = _settled(days, models, max_iter, spread, tasks)
     best = settled.groupBy(*SERIES, "k", "n_blocks").agg(
         F.min_by("centres", F.struct("error", "restart")).alias("centres")
     )
@@ -329,10 +333,11 @@ def cluster_days(
         _over_blocks(
             days, best, _label,
             "entity_id string, kind string, block int, n_blocks int, date date, vector array<double>, k int, label int",
+            tasks,
         )
     )
     scores = labelled.select(*SERIES, "k").distinct().join(
-        _silhouettes(labelled.where("k > 1")), [*SERIES, "k"], "left"
+        _silhouettes(labelled.where("k > 1"), tasks), [*SERIES, "k"], "left"
     )
     if n_clusters == "auto":
         better = F.struct(-F.coalesce("silhouette", F.lit(-2.0)), "k")

@@ -25,7 +25,7 @@ def regular_grid(readings: DataFrame, interval_minutes: int) -> DataFrame:
         .where("start is not null")
         .withColumn("date", F.explode(F.sequence(F.to_date("start"), F.to_date("end"))))
     )
-    days = by_day(days, KEYS)
+    days = by_day(days, KEYS, to_expand=True)
     origin = clock.micros(F.col("start"))
     into_day = F.unix_date("date").cast("long") * clock.DAY - origin
     last_slot = F.floor((clock.micros(F.col("end")) - origin) / step)
@@ -53,7 +53,7 @@ def on_grid(readings: DataFrame, interval_minutes: int) -> DataFrame:
     carried = [c for c in readings.columns if c not in ("meter_id", "date", "timestamp")]
     grid = regular_grid(readings, interval_minutes).withColumn("_expected", F.lit(True))
     return (
-        grid.unionByName(by_day(readings, KEYS), allowMissingColumns=True)
+        grid.unionByName(by_day(readings, KEYS, to_expand=True), allowMissingColumns=True)
         .groupBy("meter_id", "date", "timestamp")
         .agg(F.max("_expected").alias("_expected"), *[F.first(c, True).alias(c) for c in carried])
         .where("_expected")

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from meterweave.session import partitions
+
 
 def per_series(keys: list[str], descending: bool = False) -> WindowSpec:
     """All earlier (or, descending, all later) days of a series.
@@ -52,16 +54,17 @@ def placed(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows
 
 
-def by_day(rows: DataFrame, keys: list[str]) -> DataFrame:
+def by_day(rows: DataFrame, keys: list[str], to_expand: bool = False) -> DataFrame:
     """Lay rows out by (series, date), the layout all day-wise operators work on.
 
-    The number of partitions is the session's: few bytes are shuffled when days
-    are still to be expanded into intervals, and merging small partitions then
-    would leave the expansion to a few tasks.
+    Spark merges small partitions afterwards. Where days are still `to_expand`
+    into intervals their bytes say little about the work to come, and the
+    session's number of partitions is kept.
     """
     rows = placed(rows, keys)
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *keys, "date")
+    if not to_expand:
+        return rows.repartition(*keys, "date")
+    return rows.repartition(partitions(rows.sparkSession), *keys, "date")
 
 
 def join_day_state(rows: DataFrame, keys: list[str], days: DataFrame) -> DataFrame:

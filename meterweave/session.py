@@ -28,6 +28,13 @@ def session(app: str = "meterweave", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def partitions(spark: SparkSession) -> int:
+    """Partitions for an explicit layout: the session's setting, on one machine not far above its cores."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    context = spark.sparkContext
+    return min(wanted, 2 * context.defaultParallelism) if context.master.startswith("local") else wanted
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a scratch folder only in local mode."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from meterweave.session import partitions
+
 
 def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Files with the rows of a key together and sorted, so that a reader of one key skips most of them.
@@ -21,8 +23,7 @@ def write_per_entity(df: DataFrame, path: str, file_format: str = "csv", key: st
 
     Folders are as many as entities; for many meters write_table is the better layout.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.repartition(n, key)
+    rows = df.repartition(partitions(df.sparkSession), key)
     _save(rows.write.mode("overwrite").partitionBy(key), path, file_format)
 
 
