@@ -8,11 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterweave.llm.common import table
+from meterweave.llm.decontamination import find_leaks
 from meterweave.llm.lines import drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken
+from meterweave.llm.near import near_duplicates
 from meterweave.llm.sharding import shard_rows
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), similarity=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_taken(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -39,12 +54,34 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_mixing": op3_mixing,
+    "op5_near_dedup": op5_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rn, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), items AS (
+            SELECT row_number() OVER () AS irn, CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(10, len(words)) AS w, array_to_string(words[i : i + least(10, len(words)) - 1], ' ') AS gram
+            FROM (SELECT *, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i FROM items WHERE len(words) > 0)
+        ), lengths AS (SELECT DISTINCT w FROM windows), grams AS (
+            SELECT rn, i, w, array_to_string(words[i : i + w - 1], ' ') AS gram
+            FROM (SELECT rn, words, w, unnest(range(1, len(words) - w + 2)) AS i FROM docs, lengths WHERE len(words) >= w)
+        ), hits AS (SELECT g.rn, g.i, g.w, x.item_id FROM grams g JOIN windows x ON g.w = x.w AND g.gram = x.gram),
+        words_hit AS (SELECT rn, count(DISTINCT p) AS n FROM (SELECT rn, unnest(range(i, i + w)) AS p FROM hits) GROUP BY rn),
+        items_hit AS (SELECT rn, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rn, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY rn)
+        SELECT doc_id, len(words) AS n_words, coalesce(w.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+            sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(w.n, 0) > 0 AS contaminated
+        FROM docs d LEFT JOIN words_hit w ON d.rn = w.rn LEFT JOIN items_hit i ON d.rn = i.rn
+    """,
     "op7_line_dedup": r"""
         WITH lines AS (
             SELECT rn, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
