@@ -8,14 +8,17 @@ from itertools import batched
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from meterweave.llm.words import ALPHANUMERIC, gathered, lists, word_hashes
 
 WINDOW = 10
 #: Items of a block; one block of the test set is held in a worker's memory at a time.
 BLOCK_ITEMS = 20_000
-SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, matches array<struct<item_id:string,item_word:int,doc_word:int,words:int>>"
+SCHEMA = "n_words long, n_hit long, items array<string>, matches array<struct<item_id:string,item_word:int,doc_word:int,words:int>>"
 MATCH = pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("words", pa.int32())])
+LEAK = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("matches", pa.list_(MATCH))])
 
 
 class ItemBlock:
@@ -152,16 +155,14 @@ def search_shards(blocks: list, window: int) -> Callable[[Iterator[pa.RecordBatc
         for batch, texts in gathered(batches, "text"):
             counts, n_hit, matches = shard_hits(texts, [one] if one else (ItemBlock(b.value, window) for b in blocks))
             items = [sorted(m["item_id"] for m in row if m["item_id"] is not None) for row in matches]
-            ends = np.concatenate([[0], np.cumsum([len(row) for row in matches])])
-            found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([m for row in matches for m in row], MATCH))
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), found]
-            yield pa.record_batch(columns, names=["doc_id", "n_words", "n_hit", "items", "matches"])
+            leak = [{"n_words": w, "n_hit": h, "items": i, "matches": m} for w, h, i, m in zip(counts.tolist(), n_hit.tolist(), items, matches, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leak, LEAK)], names=[*batch.schema.names, "leak"])
 
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit (words in any occurrence of an item's window), items, matches.
+def mark_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """docs, with all their columns, and leak: n_words, n_hit (words in any occurrence of an item's window), items, matches.
 
     items are the ids (as text, sorted) of the items with a window in the
     document; matches hold the longest verbatim match with each of them and where
@@ -172,15 +173,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
     are not shuffled. An item shorter than the window is one window; items and
     documents without words match nothing. Null texts have no words. An item
     without id marks words but is not listed; items of one id count once.
-    Documents of any id, null and repeated ones too, get a row each.
+    Documents of any id, null and repeated ones too, get a row each. An input
+    column named leak is replaced.
     """
-    context = docs.sparkSession.sparkContext
+    docs, context = docs.drop("leak"), docs.sparkSession.sparkContext
     rows = benchmark.select("item_id", "text").toLocalIterator()
     blocks = [context.broadcast([(r["item_id"], r["text"]) for r in part]) for part in batched(rows, block_items)]
-    return docs.select("doc_id", "text").mapInArrow(search_shards(blocks, window), SCHEMA)
+    return docs.mapInArrow(search_shards(blocks, window), StructType([*docs.schema.fields, StructField("leak", StructType.fromDDL(SCHEMA))]))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_hit, items and matches of every document; see mark_leaks."""
+    return mark_leaks(docs.select("doc_id", "text"), benchmark, window).select("doc_id", "leak.*")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs, with all their columns, without the documents that hold a window of an item."""
-    leaks = find_leaks(docs, benchmark, window).where("n_hit > 0").selectExpr("doc_id AS __doc").distinct()
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["__doc"]), "left_anti")
+    names = docs.columns
+    held = docs.withColumnsRenamed({c: f"__{c}" for c in names if c == "leak"})
+    kept = mark_leaks(held, benchmark, window).where("leak.n_hit = 0")
+    return kept.select(*[F.col(f"__{c}" if c == "leak" else c).alias(c) for c in names])

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterweave.llm.common import table
+from meterweave.llm.common import remainder, table
 from meterweave.llm.decontamination import find_leaks
 from meterweave.llm.lines import drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken
 from meterweave.llm.near import near_duplicates
 from meterweave.llm.sharding import shard_rows
+from meterweave.llm.toxicity import THRESHOLD, fit, scored
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), remainder("doc_id", 3) == 1
+    model = fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select(
@@ -58,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
 
