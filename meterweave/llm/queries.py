@@ -12,6 +12,7 @@ from meterweave.llm.decontamination import find_leaks
 from meterweave.llm.lines import drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken
 from meterweave.llm.near import near_duplicates
+from meterweave.llm.neighbours import nearest
 from meterweave.llm.sharding import shard_rows
 from meterweave.llm.toxicity import THRESHOLD, fit, scored
 
@@ -34,6 +35,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     left = drop_frequent_lines(docs, line_runs(docs))
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_mixing": op3_mixing,
     "op5_near_dedup": op5_near_dedup,
+    "op6_neighbours": op6_neighbours,
     "op7_line_dedup": op7_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
