@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterweave.llm import ngrams
 from meterweave.llm.common import remainder, table
 from meterweave.llm.decontamination import find_leaks
 from meterweave.llm.lines import drop_frequent_lines, line_runs
@@ -25,6 +26,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0
+    model = ngrams.train(docs.where(~held_out))
+    scores = ngrams.score(docs, model, ["doc_id", held_out.alias("held_out")])
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), similarity=85)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -67,6 +75,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_lm_score": op2_lm_score,
     "op3_mixing": op3_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op6_neighbours": op6_neighbours,
