@@ -14,6 +14,7 @@ from meterweave.llm.lines import drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken
 from meterweave.llm.near import near_duplicates
 from meterweave.llm.neighbours import nearest
+from meterweave.llm.repeats import remove_repeats
 from meterweave.llm.sharding import shard_rows
 from meterweave.llm.toxicity import THRESHOLD, fit, scored
 
@@ -33,6 +34,12 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), similarity=85)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_lm_score": op2_lm_score,
     "op3_mixing": op3_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_near_dedup": op5_near_dedup,
     "op6_neighbours": op6_neighbours,
     "op7_line_dedup": op7_line_dedup,
