@@ -205,8 +205,8 @@ def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, ban
 def first_of_groups(docs: DataFrame, similarity: int = 80) -> DataFrame:
     """docs, with all their columns, with one document of each near-duplicate group: the one with its smallest id.
 
-    Equal rows of that id stay as one row; documents without words all stay.
+    Rows equal in id and text stay as one; documents without words stay.
     """
     gone = near_duplicates(docs, similarity).where("NOT (doc_id <=> component_id)").selectExpr("doc_id AS __doc").distinct()
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__doc"]), "left_anti")
-    return left.dropDuplicates()
+    return left.dropDuplicates(["doc_id", "text"])

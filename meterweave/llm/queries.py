@@ -14,6 +14,7 @@ from meterweave.llm.lines import drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken
 from meterweave.llm.near import near_duplicates
 from meterweave.llm.neighbours import nearest
+from meterweave.llm.passages import passage_classes, repeated_passages
 from meterweave.llm.repeats import remove_repeats
 from meterweave.llm.sharding import shard_rows
 from meterweave.llm.toxicity import THRESHOLD, fit, scored
@@ -60,6 +61,14 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passage_classes(repeated_passages(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", "n_words", "n_repeated", "n_later", F.size("passages").cast("long").alias("n_passages"),
+        F.size("partners").cast("long").alias("n_links"), "class_id", (F.col("n_later") > 0).alias("repeats"), "partners",
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents").select("doc_id", "text"), remainder("doc_id", 3) == 1
     model = fit(docs, table(spark, sf_dir, "labels"), ~held_out)
@@ -88,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dedup": op5_near_dedup,
     "op6_neighbours": op6_neighbours,
     "op7_line_dedup": op7_line_dedup,
+    "op8_fuzzy_passages": op8_fuzzy_passages,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
 }
