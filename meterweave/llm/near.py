@@ -149,6 +149,34 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.where(100 * shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
+def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes of the buckets that still hold several groups, with their own group and the bucket's largest one."""
+    rooted = members.join(found, members["set_id"] == found["node"], "left").select("band", "value", "set_id", "n", F.coalesce("root", "set_id").alias("root"))
+    sizes = rooted.groupBy("band", "value", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("band", "value").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("roots"))
+    return rooted.join(main.where("roots > 1").drop("roots"), ["band", "value"])
+
+
+def prefix_pairs(left: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of unsettled classes of different groups that can be similar enough.
+
+    Two sets with the similarity have a shingle in common among the rarest
+    n - ceil(similarity * n) + 1 of each. Shingles that most of a large group of
+    copies have are its most frequent ones, so sets that differ from it in more
+    places than the similarity allows meet none of it.
+    """
+    nodes = left.groupBy("set_id").agg(F.max(F.col("root") != F.col("main")).alias("minor"), F.first("root").alias("root"))
+    every = sets.join(nodes, "set_id").select("set_id", "minor", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = every.groupBy("shingle").agg(F.count("*").alias("often"))
+    length = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") / 100).cast("int") + 1
+    rarest = every.join(often, "shingle").groupBy("set_id", "minor", "root", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
+    prefix = stored(rarest.select("set_id", "minor", "root", "n", F.explode(F.slice("order", F.lit(1), length)["shingle"]).alias("shingle")), "prefixes")
+    a = prefix.where("minor").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
+    b = prefix.select("shingle", F.col("set_id").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"))
+    met = a.join(b, "shingle").where((F.col("a_root") != F.col("b_root")) & (100 * F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest id it reaches by links, its own included).
 
@@ -156,10 +184,12 @@ def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, ban
     sets of k-word shingles. Equal sets are one class, which stands in all later
     steps as one node. Classes that share a band of their signatures lie in one
     bucket. First every class is checked against the least of each of its
-    buckets; a bucket whose classes are one group by then needs no more. In the
-    others every class outside the bucket's largest group is checked against the
-    classes of the other groups, so no link between groups is lost, and a large
-    group of copies never becomes all of its pairs. Checks use full sets.
+    buckets, then against a member of the largest group of each bucket that still
+    holds several groups. What is left over is checked in full: every class
+    outside the largest group of a bucket against all unsettled classes with
+    which it has one of its rarest shingles in common. So no link between groups
+    is lost, and a large group of copies never becomes all of its pairs. Checks
+    use full sets.
 
     Texts without words (null, empty, white space) have an empty set and are
     linked with nothing. Equal rows are one class and each is returned. A class
@@ -183,16 +213,16 @@ def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, ban
     links = stored(verified(first, sets, similarity), "links")
     found = groups(links)
 
-    grouped = members.join(found, members["set_id"] == found["node"], "left").select("band", "value", "set_id", "n", F.coalesce("root", "set_id").alias("root"))
-    largest = grouped.groupBy("band", "value", "root").agg(F.count("*").alias("size"))
-    largest = largest.groupBy("band", "value").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
-    open_ = stored(grouped.join(largest, ["band", "value"]), "open")
-    minor = open_.where("root != main").select("band", "value", F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"))
-    others = open_.select("band", "value", F.col("set_id").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"))
-    rest = minor.join(others, ["band", "value"]).where((F.col("a_root") != F.col("b_root")) & fits(F.col("a_n"), F.col("b_n")))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = rest.join(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = stored(links.unionByName(verified(more, sets, similarity)), "links")
+    # Classes outside their bucket's largest group meet one of its members, another one in each band.
+    open_ = stored(unsettled(members, found), "open")
+    picked = open_.where("root = main").groupBy("band", "value").agg(F.min_by("set_id", F.xxhash64("band", "value", "set_id")).alias("a"))
+    second = open_.where("root != main").join(picked, ["band", "value"]).join(sizes.withColumnsRenamed({"hub": "a", "hub_n": "a_n"}), "a")
+    second = second.where(fits(F.col("n"), F.col("a_n"))).select("a", F.col("set_id").alias("b")).distinct()
+    links = stored(links.unionByName(verified(second, sets, similarity)), "links")
+    found = groups(links)
+
+    rest = prefix_pairs(unsettled(members, found), sets, similarity)
+    links = stored(links.unionByName(verified(rest, sets, similarity)), "links")
     found = groups(links)
 
     of_class = classes.select("set_id", "least_id").join(found, F.col("set_id") == F.col("node"), "left").select("set_id", "least_id", F.coalesce("root", "set_id").alias("root"))
