@@ -69,7 +69,8 @@ def marked_runs(b: np.ndarray, start: np.ndarray, length: int, mark: int) -> tup
     new[1:] = (at[1:] != at[:-1]) | (np.diff(window) != 1)
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(window)]]) - 1
-    return window[first], window[last], h[at[first]]
+    # The least of many hashes is a small one; mixed again, marks spread evenly over shards.
+    return window[first], window[last], mixed(h[at[first]])
 
 
 def ordered(table: pa.Table) -> tuple[list, list[bytes]]:
