@@ -65,7 +65,8 @@ def slots(targets: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
     wanted = F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long")
     sized = targets.where("source_size > 0").withColumn("blocks", blocks).select("source_id", "blocks", wanted.alias("wanted")).where("wanted > 0")
     chunks = sized.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("wanted") - 1) / CHUNK))))
-    spread = chunks.repartition("source_id", "chunk")
+    # A number of partitions of its own: the few small rows would be merged into one task and expanded there.
+    spread = chunks.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source_id", "chunk")
     each = spread.withColumn("slot", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("chunk") * CHUNK + CHUNK, F.col("wanted")) - 1)))
     index, epoch = F.pmod("slot", "blocks"), F.floor(F.col("slot") / F.col("blocks"))
     return each.select(
@@ -108,7 +109,7 @@ def mix_taken(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: i
     """
     rows = sized(docs.select("doc_id", "source", "text")).drop("text")
     cut, targets = pieces(rows, ["doc_id", "__text"], block, seed, weights, most)
-    times = slots(targets, block, shards, seed).groupBy("source_id", "block").agg(F.count("*").alias("times"))
+    times = slots(targets, block, shards, seed).groupBy("source_id", "block").agg(F.count("*").alias("times")).hint("merge")
     key = ["source_id", "start", "doc_id", "__text", "size", "source", "source_size", "target"]
     got = cut.join(times, ["source_id", "block"], "left").withColumn("words", F.col("piece") * F.coalesce("times", F.lit(0)))
     # Rows of no words share a place; they are counted and put out as often as they came.
@@ -130,7 +131,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, s
     rows = sized(docs.select(whole, "doc_id", "source", "text"))
     ids = rows.select("doc_id", "source", "size", "__text")
     cut, targets = pieces(ids, ["doc_id", "__text"], block, seed, weights, most)
-    drawn = slots(targets, block, shards, seed).select("source_id", "block", "epoch")
+    drawn = slots(targets, block, shards, seed).select("source_id", "block", "epoch").hint("merge")
     part = F.struct("piece_start", "piece")
     taken = (
         cut.where("size > 0").join(drawn, ["source_id", "block"])
