@@ -91,6 +91,21 @@ class Model:
         return np.where(units.counts > 0, found, self.bias)
 
 
+def spans(n: int, step: int = 1 << 18) -> list[tuple[int, int]]:
+    return [(a, min(a + step, n)) for a in range(0, n, step)]
+
+
+def by_word(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, word after word; where each word's begin and end; words of each text), a few texts at a time."""
+    buckets, sizes, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, z in spans(len(texts), 128):
+        units = subwords(texts[a:z])
+        buckets.append(units.bucket[np.argsort(units.word, kind="stable")])
+        sizes.append(np.bincount(units.word, minlength=int(units.counts.sum())))
+        counts.append(units.counts)
+    return np.concatenate(buckets), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64), np.concatenate(counts)
+
+
 def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 24, steps: int = 6, rate: float = 0.08, decay: float = 1e-6, seed: int = 7) -> Model:
     """Embeddings and softmax trained together by Adam.
 
@@ -105,18 +120,18 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 24, steps: int =
     share = toxic.mean() if len(toxic) else 0.0
     if not 0 < share < 1:
         return Model(np.zeros(BUCKETS), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    units = subwords(texts)
-    order = np.argsort(units.word, kind="stable")
-    bucket, ends = units.bucket[order], np.concatenate([[0], np.cumsum(np.bincount(units.word, minlength=int(units.counts.sum())))])
-    text, low, high = bags(units.counts)
+    bucket, ends, counts = by_word(texts)
+    text, low, high = bags(counts)
     begin, size, each = ends[low], ends[high] - ends[low], np.bincount(text, minlength=len(texts))[text]
     label, rng = toxic[text], np.random.default_rng(seed)
     state = {"e": rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)), "v": rng.normal(0, 0.5, DIMENSIONS), "b": np.array(-1.0)}
     first, second = ({k: np.zeros_like(x) for k, x in state.items()} for _ in range(2))
     seen, step = np.zeros(BUCKETS, bool), 0
     for r in range(rounds):
-        total = np.concatenate([[0], np.cumsum((state["e"] @ state["v"])[bucket])])
-        odds = (total[begin + size] - total[begin]) / size
+        weight = (state["e"] @ state["v"]).astype(np.float32)
+        word = [np.add.reduceat(weight[bucket[ends[a] : ends[z]]], ends[a:z] - ends[a]) for a, z in spans(len(ends) - 1)]
+        total = np.concatenate([[0.0], np.cumsum(np.concatenate([np.zeros(0), *word]))])
+        odds = (total[high] - total[low]) / size
         rank = np.empty(len(text), np.int64)
         rank[np.lexsort((-odds, text))] = np.arange(len(text))
         rank -= np.searchsorted(text, text)
