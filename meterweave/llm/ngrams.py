@@ -19,7 +19,7 @@ from meterweave.llm.words import BETWEEN_SPACE, U, gathered, mixed, word_hashes
 
 START, END = U(0x5BD1E995A3B2C1D0), U(0x1B873593CC9E2D51)
 #: Text that one shard of the pair counts stands for, and text counted at a time before the shuffle.
-SHARD_BYTES, COUNTED = 64 << 20, 16 << 20
+SHARD_BYTES, COUNTED = 32 << 20, 8 << 20
 TEXT = 4 << 20
 
 
@@ -68,6 +68,7 @@ def count_pairs(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     def flush(texts: list[bytes]) -> Iterator[pa.RecordBatch]:
         parts = [tokens(texts[i : i + 512])[:2] for i in range(0, len(texts), 512)]
         token, before = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        del parts
         order = np.lexsort((token, before))
         token, before = token[order], before[order]
         first = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (before[1:] != before[:-1])]))
