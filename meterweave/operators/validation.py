@@ -91,16 +91,14 @@ def raise_if_fatal(findings: DataFrame, strict: bool = False) -> None:
 def dedupe_readings(rows: DataFrame, ordinal: str | None = None) -> DataFrame:
     """One row per (meter_id, timestamp).
 
-    Keeps the first row by `ordinal`, the source order, which must not repeat
-    within a stamp. Tables have no order of their own: without an ordinal the
-    lowest non-null demand is kept. Written as an aggregation, so copies go
-    before the shuffle; with an ordinal numeric columns need no sort either.
+    Keeps the first whole row by `ordinal`, the source order; a NULL ordinal
+    comes last. Tables have no order of their own: where the ordinal repeats or
+    there is none, the lowest non-null demand is kept. Written as an
+    aggregation, so copies go before the shuffle.
     """
     keys = ["meter_id", "timestamp"]
     rest = [c for c in rows.columns if c not in keys]
-    if ordinal:
-        kept = rows.groupBy(*keys).agg(*[F.min_by(c, ordinal).alias(c) for c in rest])
-        return kept.select(*rows.columns)
-    order = [F.col("demand_kw").isNull(), *[F.col(c) for c in sorted(rest, key=lambda c: c != "demand_kw")]]
+    first = [F.col(ordinal).isNull(), F.col(ordinal)] if ordinal else []
+    order = [*first, F.col("demand_kw").isNull(), *[F.col(c) for c in sorted(rest, key=lambda c: c != "demand_kw")]]
     kept = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("kept"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}") for c in rows.columns])

@@ -43,17 +43,21 @@ def map_columns(raw: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def as_number(c: str) -> Column:
-    """Double, with NULL for texts that are no number and for NaN."""
+    """Double, with NULL for texts that are no number and for NaN.
+
+    A cast alone would read the type letter of a literal: 12d as 12, 1.5f as 1.5.
+    """
     number = F.col(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(~F.isnan(number) & ~F.col(c).cast("string").rlike(r"[0-9.]\s*[dDfF]\s*$"), number)
 
 
-def as_timestamp(c: str, dtype: T.DataType, pattern: str | None = None) -> Column:
-    """Naive timestamp, with NULL for texts that do not parse."""
+def as_timestamp(c: str, dtype: T.DataType, pattern: str | list[str] | None = None) -> Column:
+    """Naive timestamp, with NULL for texts that do not parse; several patterns are tried in their order."""
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return F.col(c).cast("timestamp_ntz")
     if pattern:
-        return F.try_to_timestamp(F.col(c).cast("string"), F.lit(pattern)).cast("timestamp_ntz")
+        tried = [F.try_to_timestamp(F.col(c).cast("string"), F.lit(p)) for p in ([pattern] if isinstance(pattern, str) else pattern)]
+        return F.coalesce(*tried).cast("timestamp_ntz")
     return F.col(c).try_cast("timestamp_ntz")
 
 

@@ -1,3 +1,4 @@
+import math
 from datetime import datetime
 
 import pytest
@@ -86,3 +87,19 @@ def test_outputs_read_back(spark, tmp_path, per_entity, file_format):
     assert sorted((r.entity_id, float(r.kw)) for r in back.collect()) == [("A", 1.5), ("B", 2.5)]
     if per_entity:
         assert {p.name for p in (tmp_path / "days").iterdir() if p.is_dir()} == {"entity_id=A", "entity_id=B"}
+
+
+def test_type_letters_are_no_numbers_and_patterns_are_tried_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from meterweave.operators.validation import dedupe_readings
+    from meterweave.sources.readings import as_number, as_timestamp
+
+    texts = spark.createDataFrame([("12d",), ("1.5F",), ("7",), ("1e3",), ("Infinity",), ("inf",), ("x",)], "t string")
+    assert [r[0] for r in texts.select(as_number("t")).collect()] == [None, None, 7.0, 1000.0, math.inf, math.inf, None]
+    stamps = spark.createDataFrame([("6/1/2025 0:15",), ("2025-06-01 00:30",), ("?",)], "t string")
+    parsed = as_timestamp("t", stamps.schema["t"].dataType, ["M/d/yyyy H:mm", "yyyy-MM-dd HH:mm"])
+    assert [r[0] for r in stamps.select(parsed.cast("string")).collect()] == ["2025-06-01 00:15:00", "2025-06-01 00:30:00", None]
+    rows = spark.createDataFrame([("m", 1, 5.0, None, 1), ("m", 1, 7.0, 60.0, 1), ("m", 1, 1.0, 50.0, None)], "meter_id string, t int, demand_kw double, temperature_f double, n int")
+    kept = dedupe_readings(rows.withColumn("timestamp", F.lit("2025-06-01").cast("timestamp_ntz")).drop("t"), "n").first()
+    assert (kept["demand_kw"], kept["temperature_f"]) == (5.0, None)
