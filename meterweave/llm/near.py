@@ -16,6 +16,8 @@ from meterweave.llm.words import BETWEEN_SPACE, U, gathered, lists, mixed, shing
 SHINGLE = 5
 #: 28 bands of 4: a pair at 0.85 shares no band with a chance of (1 - 0.85^4)^28, some 1e-9; at 0.8 some 5e-7.
 BANDS, ROWS = 28, 4
+#: 64-bit words of the parity bits of a set; every element turns one bit.
+PARITY = 4
 #: Elements whose permutations are in memory at a time.
 CHUNK = 60_000
 UNSET = U(0xFFFFFFFFFFFFFFFF)
@@ -87,12 +89,23 @@ def sketch(k: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]]
     return run
 
 
+def parities(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """PARITY words for each set. Two sets differ in at least as many elements as their words differ in bits."""
+    out = np.zeros((len(counts), PARITY), dtype=U)
+    some = np.flatnonzero(counts)
+    for w in range(PARITY if len(some) else 0):
+        bit = np.where((sets >> U(6)) % U(PARITY) == U(w), U(1) << (sets & U(63)), U(0))
+        out[some, w] = np.bitwise_xor.reduceat(bit, (np.cumsum(counts) - counts)[some])
+    return out
+
+
 def full_sets(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in gathered(batches, "text"):
             sets, counts, digests = sets_of(texts, k)
             same = pa.array([a == b for a, b in zip(digests, batch.column(batch.schema.get_field_index("set_id")).to_pylist(), strict=True)], pa.bool_())
-            out = pa.record_batch([pa.array(digests, pa.binary()), lists(sets.view(np.int64), counts, pa.int64())], names=["set_id", "shingles"])
+            parity = lists(parities(sets, counts).reshape(-1).view(np.int64), np.full(len(counts), PARITY), pa.int64())
+            out = pa.record_batch([pa.array(digests, pa.binary()), lists(sets.view(np.int64), counts, pa.int64()), parity], names=["set_id", "shingles", "parity"])
             yield out.filter(same)
 
     return run
@@ -163,18 +176,31 @@ def prefix_pairs(left: DataFrame, sets: DataFrame, similarity: int) -> DataFrame
     Two sets with the similarity have a shingle in common among the rarest
     n - ceil(similarity * n) + 1 of each. Shingles that most of a large group of
     copies have are its most frequent ones, so sets that differ from it in more
-    places than the similarity allows meet none of it.
+    places than the similarity allows meet none of it. Two bounds keep pairs
+    that meet out of the join's result. The first shingle in common leaves the
+    rest of both sets, which must be large enough (other rows of the pair may
+    fail this, that one does not if the pair is similar). And the parity bits in
+    which they differ must not be more than the elements in which they may.
     """
     nodes = left.groupBy("set_id").agg(F.max(F.col("root") != F.col("main")).alias("minor"), F.first("root").alias("root"))
     every = sets.join(nodes, "set_id").select("set_id", "minor", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     often = every.groupBy("shingle").agg(F.count("*").alias("often"))
     length = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") / 100).cast("int") + 1
     rarest = every.join(often, "shingle").groupBy("set_id", "minor", "root", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
-    prefix = stored(rarest.select("set_id", "minor", "root", "n", F.explode(F.slice("order", F.lit(1), length)["shingle"]).alias("shingle")), "prefixes")
-    a = prefix.where("minor").select("shingle", F.col("set_id").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
-    b = prefix.select("shingle", F.col("set_id").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"))
-    met = a.join(b, "shingle").where((F.col("a_root") != F.col("b_root")) & (100 * F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    kept = rarest.withColumn("order", F.slice("order", F.lit(1), length)["shingle"]).join(sets.select("set_id", "parity"), "set_id")
+    prefix = stored(kept.select("set_id", "minor", "root", "n", "parity", F.posexplode("order").alias("place", "shingle")), "prefixes")
+    side = lambda x: prefix.select("shingle", *(F.col(c).alias(f"{x}_{c}") for c in ("set_id", "minor", "root", "n", "place", "parity")))
+    total, apart = F.col("a_n") + F.col("b_n"), sum((F.bit_count(F.col("a_parity")[w].bitwiseXOR(F.col("b_parity")[w])) for w in range(PARITY)), F.lit(0))
+    fits = (
+        (F.col("a_root") != F.col("b_root"))
+        & (100 * F.least("a_n", "b_n") >= similarity * F.greatest("a_n", "b_n"))
+        & (F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place")) * (100 + similarity) >= similarity * total)
+        & ((total - apart) * (100 + similarity) >= 2 * similarity * total)
+    )
+    # Of two sets outside their main groups each is on both sides; one order is enough.
+    once = ~F.col("b_minor") | (F.col("a_set_id") < F.col("b_set_id"))
+    met = side("a").where("a_minor").join(side("b"), "shingle").where(fits & once)
+    return met.select(F.least("a_set_id", "b_set_id").alias("a"), F.greatest("a_set_id", "b_set_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -205,7 +231,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, ban
     members = stored(places.join(shared, ["band", "value"]), "buckets")
     nodes = members.select("set_id", "least_id", "n").distinct()
     chosen = docs.select("doc_id", "text").join(nodes.select("set_id", F.col("least_id").alias("doc_id")), "doc_id")
-    sets = stored(chosen.mapInArrow(full_sets(k), "set_id binary, shingles array<long>").dropDuplicates(["set_id"]), "sets")
+    sets = stored(chosen.mapInArrow(full_sets(k), "set_id binary, shingles array<long>, parity array<long>").dropDuplicates(["set_id"]), "sets")
     fits = lambda x, y: (100 * F.least(x, y) >= similarity * F.greatest(x, y))
 
     sizes = nodes.select(F.col("set_id").alias("hub"), F.col("n").alias("hub_n"))
