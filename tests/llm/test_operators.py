@@ -12,7 +12,7 @@ from meterweave.llm import ngrams
 from meterweave.llm.decontamination import clean_documents, find_leaks
 from meterweave.llm.lines import LineRuns, batch_counts, drop_frequent_lines, line_hashes, line_runs
 from meterweave.llm.mixing import mix_taken, mixed_documents
-from meterweave.llm.near import first_of_groups, near_duplicates, super_minhash
+from meterweave.llm.near import PARITY, first_of_groups, near_duplicates, parities, super_minhash
 from meterweave.llm.neighbours import nearest
 from meterweave.llm.passages import passage_classes, repeated_passages
 from meterweave.llm.repeats import remove_repeats
@@ -278,3 +278,17 @@ def test_toxicity_finds_unseen_misspellings(spark, empty):
     kept = without_toxic(table, labels, labels["doc_id"] % 5 != 1)
     assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s < 0.7}
     assert scored(empty, model).isEmpty()
+
+
+def test_parity_bits_never_differ_in_more_places_than_the_sets():
+    rng = np.random.default_rng(19)
+    pool = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (0, 1, 7, 7, 300, 0, 800, 800)]
+    sets += [sets[4][:-3], sets[4]]
+    words = parities(np.concatenate(sets), np.array([len(s) for s in sets]))
+    assert words.shape == (len(sets), PARITY) and not words[0].any() and not words[5].any()
+    for a, x in zip(sets, words, strict=True):
+        for b, y in zip(sets, words, strict=True):
+            differ = sum(int(w).bit_count() for w in x ^ y)
+            assert differ <= len(np.setxor1d(a, b)) and differ % 2 == len(np.setxor1d(a, b)) % 2
+    assert parities(np.zeros(0, np.uint64), np.zeros(0, np.int64)).shape == (0, PARITY)
