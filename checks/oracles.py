@@ -450,9 +450,9 @@ WITHIN = NEAREST.format(reach="20 * 60000000")
 oracle("asof_temperature", f"SELECT meter_id, timestamp, {r('external_temperature_f')} FROM ({WITHIN})", "feeders", "weather")
 oracle("asof_temperature_unlimited", f"""
 , before AS (SELECT meter_id, f.timestamp, w.timestamp AS at, w.temperature_f AS temp
-             FROM feeders f ASOF LEFT JOIN (SELECT * FROM weather WHERE temperature_f > 60) w ON f.timestamp >= w.timestamp),
+             FROM feeders f ASOF LEFT JOIN weather w ON f.timestamp >= w.timestamp),
 later AS (SELECT meter_id, f.timestamp, w.timestamp AS at, w.temperature_f AS temp
-          FROM feeders f ASOF LEFT JOIN (SELECT * FROM weather WHERE temperature_f > 60) w ON f.timestamp <= w.timestamp)
+          FROM feeders f ASOF LEFT JOIN weather w ON f.timestamp <= w.timestamp)
 SELECT meter_id, timestamp,
        {r('CASE WHEN b.at IS NULL OR l.at - timestamp < timestamp - b.at THEN l.temp ELSE b.temp END', 'external_temperature_f')}
 FROM before b JOIN later l USING (meter_id, timestamp)""", "feeders", "weather")

@@ -229,8 +229,7 @@ def asof_temperature(spark, sf_dir):
 
 @query
 def asof_temperature_unlimited(spark, sf_dir):
-    warm = t.weather(spark, sf_dir).where("temperature_f > 60")
-    return weather.asof_temperature(t.feeders(spark, sf_dir).select("meter_id", "timestamp"), warm)
+    return weather.asof_temperature(t.feeders(spark, sf_dir).select("meter_id", "timestamp"), t.weather(spark, sf_dir))
 
 
 @query
