@@ -89,7 +89,7 @@ def chunk_marks(length: int, mark: int, bits: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         _, texts = ordered(table)
-        marks, many = distinct_marks(texts, length, mark)
+        marks, many = distinct_marks(chunk_runs(texts, length, mark))
         cut = np.searchsorted(top_bits(marks, bits), np.arange((1 << bits) + 1))
         rows = [(s, marks[a:b].tobytes(), np.packbits(many[a:b]).tobytes()) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(rows), pa.int32()), "shard": pa.array([r[0] for r in rows], pa.int32()), "marks": pa.array([r[1] for r in rows], pa.binary()), "many": pa.array([r[2] for r in rows], pa.binary())})
@@ -97,13 +97,18 @@ def chunk_marks(length: int, mark: int, bits: int):
     return run
 
 
-def distinct_marks(texts: list[bytes], length: int, mark: int) -> tuple[np.ndarray, np.ndarray]:
-    found, docs = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+def chunk_runs(texts: list[bytes], length: int, mark: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each piece of a chunk, its runs of windows: (first window, last window, hash, document)."""
+    found = []
     for b, start, doc, _ in pieces(texts, length):
-        first, _, h = marked_runs(b, start, length, mark)
-        found.append(h)
-        docs.append(doc[np.searchsorted(start, first, "right") - 1])
-    h, d = np.concatenate(found), np.concatenate(docs)
+        first, last, h = marked_runs(b, start, length, mark)
+        found.append((first, last, h, doc[np.searchsorted(start, first, "right") - 1]))
+    return found
+
+
+def distinct_marks(runs: list) -> tuple[np.ndarray, np.ndarray]:
+    h = np.concatenate([np.zeros(0, U), *(r[2] for r in runs)])
+    d = np.concatenate([np.zeros(0, np.int64), *(r[3] for r in runs)])
     order = np.argsort(h, kind="stable")
     h, d = h[order], d[order]
     new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
@@ -135,13 +140,13 @@ def chunk_segments(length: int, mark: int, bits: int):
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts = ordered(docs)
-        marks, _ = distinct_marks(texts, length, mark)
+        runs = chunk_runs(texts, length, mark)
+        marks, _ = distinct_marks(runs)
         answers = answers.sort_by("shard")
         bits_ = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(answers["bits"].to_pylist(), answers["n"].to_pylist(), strict=True)]
         shared = marks[np.concatenate(bits_)] if bits_ else marks[:0]
         held: dict[int, tuple[dict, list]] = {}
-        for b, start, doc, place in pieces(texts, length) if len(shared) else ():
-            first, last, h = marked_runs(b, start, length, mark)
+        for (b, start, doc, place), (first, last, h, _) in zip(pieces(texts, length), runs, strict=True) if len(shared) else ():
             keep = shared[np.minimum(np.searchsorted(shared, h), len(shared) - 1)] == h
             first, last, h = first[keep], last[keep], h[keep]
             part, data = np.searchsorted(start, first, "right") - 1, b.tobytes()
