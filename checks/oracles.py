@@ -381,9 +381,11 @@ oracle("group_tree_check", """
    UNION ALL SELECT 'World', 'World' FROM region WHERE r_name = 'ASIA'),
 listed AS (SELECT 'm' || c_custkey AS meter_id FROM customer
    UNION ALL SELECT 'm' || c_custkey FROM customer WHERE c_acctbal < 0
-   UNION ALL SELECT NULL FROM customer WHERE c_acctbal > 9900),
+   UNION ALL SELECT NULL FROM customer WHERE c_acctbal > 9900
+   UNION ALL SELECT n_name FROM nation WHERE n_name > 'U'),
 named AS (SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region
-   UNION ALL SELECT CASE WHEN r_name = 'ASIA' THEN 'World' END FROM region),
+   UNION ALL SELECT CASE WHEN r_name = 'ASIA' THEN 'World' END FROM region
+   UNION ALL SELECT 'Portfolio' FROM region WHERE r_name = 'EUROPE'),
 in_groups AS (SELECT * FROM group_members
    UNION ALL SELECT n_name, 's' || s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 walks AS (WITH RECURSIVE walk(top, name) AS (SELECT parent, child FROM edges WHERE parent <> child
@@ -401,7 +403,12 @@ SELECT 'ERROR' AS severity, message, section, n FROM (
             FROM edges WHERE child NOT IN (SELECT name FROM named WHERE name IS NOT NULL) GROUP BY parent, child
   UNION ALL SELECT 'Group ''' || parent || ''' lists itself as a child group', 'meter_groups', count(*)
             FROM edges WHERE parent = child GROUP BY parent
-  UNION ALL SELECT 'Cyclic group hierarchy involving ''' || top || '''', 'meter_groups', 1 FROM walks WHERE top = name)""",
+  UNION ALL SELECT 'Cyclic group hierarchy involving ''' || top || '''', 'meter_groups', 1 FROM walks WHERE top = name
+  UNION ALL SELECT 'Several kinds of entity have the id ''' || id || '''', 'meter_groups', count(*) FROM (
+              SELECT meter_id AS id, 'meter' AS kind FROM listed UNION SELECT name, 'group' FROM named
+              UNION SELECT group_name, 'group' FROM in_groups UNION SELECT parent, 'group' FROM edges
+              UNION SELECT 'Portfolio', 'portfolio')
+            WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1)""",
        "group_children", "group_members")
 ORACLES["group_tree_check"] = ORACLES["group_tree_check"].replace(")\n, edges", "),\nedges")
 

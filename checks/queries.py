@@ -143,6 +143,9 @@ def group_tree_check(spark, sf_dir):
     listed = listed.unionByName(customer.where("c_acctbal > 9900").select(F.lit(None).cast("string").alias("meter_id")))
     named = nation.select(F.col("n_name").alias("name")).unionByName(region.select(F.col("r_name").alias("name")))
     named = named.unionByName(region.select(F.when(F.col("r_name") == "ASIA", "World").alias("name")))
+    # A meter named as a nation, and a group named as the portfolio.
+    listed = listed.unionByName(nation.where("n_name > 'U'").select(F.col("n_name").alias("meter_id")))
+    named = named.unionByName(region.where("r_name = 'EUROPE'").select(F.lit("Portfolio").alias("name")))
     strangers = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         F.col("n_name").alias("group_name"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("meter_id")
     )

@@ -47,17 +47,21 @@ def on_grid(readings: DataFrame, interval_minutes: int) -> DataFrame:
     """Readings put on the grid: absent intervals become rows of NULLs, off-grid rows go.
 
     Grid and readings are both laid out by (meter_id, date) and merged by one
-    aggregation there; a join on the timestamp would need another shuffle.
+    aggregation there; a join on the timestamp would need another shuffle. Of
+    several readings at one stamp a whole one stays, the lowest known demand.
     """
     readings = placed(readings.where(F.col("timestamp").isNotNull()), KEYS)
-    carried = [c for c in readings.columns if c not in ("meter_id", "date", "timestamp")]
+    keys = ["meter_id", "date", "timestamp"]
+    carried = [c for c in readings.columns if c not in keys]
+    rest = sorted(carried, key=lambda c: c != "demand_kw")
+    order = F.struct(F.col("_expected").isNotNull(), F.col("demand_kw").isNull(), *rest)
     grid = regular_grid(readings, interval_minutes).withColumn("_expected", F.lit(True))
     return (
         grid.unionByName(by_day(readings, KEYS, to_expand=True), allowMissingColumns=True)
-        .groupBy("meter_id", "date", "timestamp")
-        .agg(F.max("_expected").alias("_expected"), *[F.first(c, True).alias(c) for c in carried])
+        .groupBy(*keys)
+        .agg(F.max("_expected").alias("_expected"), F.min_by(F.struct(*carried), order).alias("_kept"))
         .where("_expected")
-        .drop("_expected")
+        .select(*keys, *[F.col(f"_kept.{c}") for c in carried])
     )
 
 
@@ -112,7 +116,8 @@ def fill_gaps(
     Only the first `limit` rows of a gap are interpolated, on the slope of the
     whole gap; the rest stays missing. Forward and backward fill work on what
     interpolation left. On a regular grid the methods "linear" and "time" agree.
-    A limit of 0 fills nothing. Readings must be unique per (meter_id, timestamp).
+    A limit of 0 fills nothing. Of several readings of a meter at one stamp one
+    stays as a whole: the lowest known demand, ties by the other columns.
     """
     if method not in ("linear", "time"):
         raise ValueError(f"unknown interpolation method: {method}")

@@ -29,13 +29,25 @@ def descendants(group_children: DataFrame) -> DataFrame:
         reach = reach.unionByName(added)
 
 
+def shared_ids(meters: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, n): ids that n > 1 kinds of entity have, of meters, groups and the portfolio."""
+    name = F.col(names.columns[0])
+    reserved = names.sparkSession.createDataFrame([(schema.PORTFOLIO_ID,)], "id string")
+    return (
+        meters.select(F.col("meter_id").alias("id")).where("id is not null").distinct()
+        .unionByName(names.select(name.alias("id")).where("id is not null").distinct())
+        .unionByName(reserved)
+        .groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    )
+
+
 def group_tree_check(
     meters: DataFrame, groups: DataFrame, group_members: DataFrame, group_children: DataFrame
 ) -> DataFrame:
     """Findings (severity, message, section, n) on the group tables.
 
     A cycle is a path that returns to its start; a group that is reached on two
-    paths is none.
+    paths is none. Meters, groups and the portfolio share one space of ids.
     """
     known = meters.select("meter_id").where("meter_id is not null").distinct()
     named = groups.select("name").where("name is not null").distinct()
@@ -64,6 +76,9 @@ def group_tree_check(
         .groupBy("parent", "child").agg(F.count(F.lit(1)).alias("n"))
     )
     selves = group_children.where("parent = child").groupBy("parent").agg(F.count(F.lit(1)).alias("n"))
+    names = named.unionByName(group_members.select(F.col("group_name").alias("name"))).unionByName(
+        group_children.select(F.col("parent").alias("name"))
+    )
     cycles = descendants(group_children.where("parent <> child")).where("parent = child").withColumn("n", F.lit(1))
     return (
         finding(missing_id, F.lit("A meter entry is missing meter_id"), "meters")
@@ -77,6 +92,7 @@ def group_tree_check(
         )
         .unionByName(finding(selves, text("Group '%s' lists itself as a child group", "parent"), "meter_groups"))
         .unionByName(finding(cycles, text("Cyclic group hierarchy involving '%s'", "parent"), "meter_groups"))
+        .unionByName(finding(shared_ids(known, names), text("Several kinds of entity have the id '%s'", "id"), "meter_groups"))
     )
 
 
@@ -103,13 +119,20 @@ def portfolio_members(meters: DataFrame, excluded: DataFrame) -> DataFrame:
 def entity_members(
     meters: DataFrame, resolved: DataFrame, portfolio: DataFrame
 ) -> DataFrame:
-    """(entity_id, entity_type, meter_id) for meters, groups and the portfolio."""
+    """(entity_id, entity_type, meter_id) for meters, groups and the portfolio.
+
+    An id that two kinds of entity share would merge their series; reading the
+    result then fails. group_tree_check reports such ids.
+    """
 
     def entity(rows: DataFrame, name, kind: str) -> DataFrame:
         return rows.select(name.alias("entity_id"), F.lit(kind).alias("entity_type"), "meter_id")
 
+    listed = meters.where("meter_id is not null").select("meter_id").distinct()
+    clash = F.raise_error(F.concat(F.lit("several kinds of entity have the id "), "id")).cast("string")
     return (
-        entity(meters.where("meter_id is not null").select("meter_id").distinct(), F.col("meter_id"), schema.METER)
+        entity(listed, F.col("meter_id"), schema.METER)
         .unionByName(entity(resolved, F.col("group_name"), schema.GROUP))
         .unionByName(entity(portfolio, F.lit(schema.PORTFOLIO_ID), schema.PORTFOLIO))
+        .unionByName(entity(shared_ids(listed, resolved.select("group_name")).withColumn("meter_id", F.col("id")), clash, schema.METER))
     )
