@@ -97,13 +97,16 @@ def spans(n: int, step: int = 1 << 18) -> list[tuple[int, int]]:
 
 def by_word(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(buckets, word after word; where each word's begin and end; words of each text), a few texts at a time."""
-    buckets, sizes, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    sizes, counts, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    # Room for a word and all n-grams at every byte; what is not written takes no memory.
+    buckets = np.empty((1 + len(GRAMS)) * sum(len(t) + 2 for t in texts), np.int32)
     for a, z in spans(len(texts), 128):
         units = subwords(texts[a:z])
-        buckets.append(units.bucket[np.argsort(units.word, kind="stable")])
+        buckets[n : n + len(units.bucket)] = units.bucket[np.argsort(units.word, kind="stable")]
+        n += len(units.bucket)
         sizes.append(np.bincount(units.word, minlength=int(units.counts.sum())))
         counts.append(units.counts)
-    return np.concatenate(buckets), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64), np.concatenate(counts)
+    return buckets[:n], np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64), np.concatenate(counts)
 
 
 def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 24, steps: int = 6, rate: float = 0.08, decay: float = 1e-6, seed: int = 7) -> Model:
@@ -144,8 +147,10 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 24, steps: int =
         n = size[used]
         index = bucket[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[used], n)]
         bag = np.repeat(np.arange(len(used)), n)
-        part, inverse = np.unique(index, return_inverse=True)
-        seen[part] = True
+        used_now = np.zeros(BUCKETS, bool)
+        used_now[index] = True
+        part, inverse = np.flatnonzero(used_now), (np.cumsum(used_now) - 1)[index]
+        seen |= used_now
         for _ in range(steps):
             step += 1
             score = state["e"][part] @ state["v"]
@@ -163,6 +168,7 @@ def train(texts: list[bytes], toxic: np.ndarray, rounds: int = 24, steps: int =
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = ROWS, most: int = BYTES) -> Model:
     """Trains on a bounded sample: `rows` documents of each label, by a hash of the id, of at most `most` bytes.
 
+    The sample is trained on in one task; only the weights come to the driver.
     labels has doc_id and toxic; learn is a condition on doc_id that says which
     labels may be used. An id is toxic if any of its labels is; labels without
     id or value are left out. Of several rows of one id the smallest text counts.
@@ -172,8 +178,14 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = ROWS, mos
     sample = known.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= rows).select(F.col("doc_id").alias("__doc"), "toxic")
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= most)
     found = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("__doc")).groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
-    sampled = sorted(found.collect())
-    return train([r["text"].encode() for r in sampled], np.array([r["toxic"] for r in sampled], bool))
+    trained = found.withColumn("__all", F.lit(1)).groupBy("__all").applyInArrow(trained_weights, "weight binary, bias double").first()
+    return Model(np.frombuffer(trained["weight"]), trained["bias"]) if trained else train([], np.zeros(0, bool))
+
+
+def trained_weights(table: pa.Table) -> pa.Table:
+    sampled = sorted(zip(table["doc_id"].to_pylist(), table["text"].cast(pa.large_binary()).to_pylist(), table["toxic"].to_pylist(), strict=True))
+    model = train([text for _, text, _ in sampled], np.array([toxic for _, _, toxic in sampled], bool))
+    return pa.table({"weight": pa.array([model.weight.tobytes()], pa.binary()), "bias": pa.array([model.bias], pa.float64())})
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
