@@ -597,6 +597,38 @@ oracle("cluster_summary", SUMMARY.format(labelled="""
     FROM vectors v JOIN features f ON v.entity_id = f.entity_id AND v.date = f.date""", **SUMMARY_COLUMNS),
        "vectors", "features")
 
+DAYS_APART = """
+    SELECT entity_id, kind, date, list_transform(vector, lambda v: v + 100 * raised) AS vector, n,
+           CASE WHEN n % 2 = 1 THEN raised ELSE 1 - raised END AS label
+    FROM (SELECT *, (row_number() OVER (PARTITION BY entity_id, kind ORDER BY date) + 1) % 2 AS raised,
+                 count(*) OVER (PARTITION BY entity_id, kind) AS n
+          FROM vectors WHERE kind = 'normalized')"""
+BEFORE_NOON = """
+    SELECT v.*, CASE WHEN peak_minute < 720 THEN 0 ELSE 1 END AS label
+    FROM vectors v JOIN features f ON v.entity_id = f.entity_id AND v.date = f.date"""
+SILHOUETTE = """
+    SELECT entity_id, kind, avg(CASE WHEN b IS NULL THEN NULL WHEN a IS NULL OR greatest(a, b) = 0 THEN 0
+                                     ELSE (b - a) / greatest(a, b) END) AS silhouette
+    FROM (SELECT entity_id, kind, date, max(CASE WHEN label = other AND size > 1 THEN total / (size - 1) END) AS a,
+                 min(CASE WHEN label <> other THEN total / size END) AS b
+          FROM (SELECT x.entity_id, x.kind, x.date, x.label, y.label AS other, count(*) AS size,
+                       sum(list_distance(CAST(x.vector AS DOUBLE[]), CAST(y.vector AS DOUBLE[]))) AS total
+                FROM ({labelled}) x JOIN ({labelled}) y ON x.entity_id = y.entity_id AND x.kind = y.kind
+                GROUP BY ALL)
+          GROUP BY ALL)
+    GROUP BY ALL"""
+for blocks in ("", "_blocks"):
+    oracle(f"cluster_days_apart{blocks}", f"""
+SELECT entity_id, kind, date, CASE WHEN n > 1 THEN CAST(label AS INTEGER) END AS cluster_id,
+       CASE WHEN n > 1 THEN 2 END AS n_clusters, {r("CASE WHEN n > 1 THEN silhouette END", "silhouette")}
+FROM ({DAYS_APART}) JOIN ({SILHOUETTE.format(labelled=DAYS_APART)}) USING (entity_id, kind)""", "vectors")
+    oracle(f"cluster_auto_k_apart{blocks}", f"""
+SELECT DISTINCT entity_id, kind, CASE WHEN n > 3 THEN 2 WHEN n > 1 THEN 1 END AS n_clusters,
+       {r("CASE WHEN n > 3 THEN silhouette END", "silhouette")}, n AS n_days, n > 1 AS success
+FROM ({DAYS_APART}) JOIN ({SILHOUETTE.format(labelled=DAYS_APART)}) USING (entity_id, kind)""", "vectors")
+oracle("silhouette_given_labels", f"""
+SELECT entity_id, kind, {r("silhouette")} FROM ({SILHOUETTE.format(labelled=BEFORE_NOON)})""", "vectors", "features")
+
 HHMM = "lpad(CAST(bucket // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(bucket % 60 AS VARCHAR), 2, '0')"
 TIMING = f"""
 SELECT entity_id, entity_id || '_peak_timing_' || lpad(CAST(number AS VARCHAR), 3, '0') AS pattern_id,

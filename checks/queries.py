@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from checks import tables as t
 from meterweave.operators import (
@@ -439,6 +439,42 @@ def cluster_auto_k(spark, sf_dir):
     return clusters.cluster_choice(clusters.cluster_days(_vectors(spark, sf_dir)))
 
 
+def _days_apart(spark, sf_dir):
+    """Normalized days, every second one of a series far above the others: any right k-means finds these two groups."""
+    order = Window.partitionBy("entity_id", "kind").orderBy("date")
+    days = _vectors(spark, sf_dir).where("kind = 'normalized'").withColumn("raised", (F.row_number().over(order) + 1) % 2)
+    return days.withColumn("vector", F.transform("vector", lambda v: v + 100.0 * F.col("raised"))).drop("raised")
+
+
+@query
+def cluster_days_apart(spark, sf_dir):
+    return clusters.cluster_days(_days_apart(spark, sf_dir), n_clusters=2).drop("vector")
+
+
+@query
+def cluster_days_apart_blocks(spark, sf_dir):
+    return clusters.cluster_days(_days_apart(spark, sf_dir), n_clusters=2, block_days=5).drop("vector")
+
+
+@query
+def cluster_auto_k_apart(spark, sf_dir):
+    return clusters.cluster_choice(clusters.cluster_days(_days_apart(spark, sf_dir)))
+
+
+@query
+def cluster_auto_k_apart_blocks(spark, sf_dir):
+    return clusters.cluster_choice(clusters.cluster_days(_days_apart(spark, sf_dir), block_days=5))
+
+
+@query
+def silhouette_given_labels(spark, sf_dir):
+    """For days that peak before noon and the others."""
+    labels = t.features(spark, sf_dir).select(
+        "entity_id", "date", F.when(F.col("peak_minute") < 720, 0).otherwise(1).alias("cluster_id")
+    )
+    return clusters.silhouette(_vectors(spark, sf_dir).join(labels, ["entity_id", "date"])).drop("k")
+
+
 @query
 def cluster_single(spark, sf_dir):
     """One cluster per series: the centroid is the mean day."""

@@ -14,6 +14,7 @@ keeps its centre.
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -200,7 +201,7 @@ def _over_blocks(days: DataFrame, models: DataFrame, work, columns: str, tasks:
 
 
 def _placed(vectors: DataFrame, block_days: int) -> DataFrame:
-    sizes = vectors.groupBy(*SERIES).agg(F.count(F.lit(1)).cast("int").alias("n_days")).where("n_days >= 2")
+    sizes = vectors.groupBy(*SERIES).agg(F.count(F.lit(1)).cast("int").alias("n_days"))
     rows = vectors.join(sizes, SERIES).withColumn("n_blocks", F.ceil(F.col("n_days") / block_days).cast("int"))
     return rows.withColumn("block", F.pmod(F.xxhash64("date"), F.col("n_blocks")).cast("int"))
 
@@ -227,6 +228,7 @@ def _settled(days: DataFrame, models: DataFrame, max_iter: int, spread: bool, ta
         "entity_id string, kind string, k int, restart int, n_blocks int, cluster int, size double, "
         "total array<double>, centre array<double>, error double"
     )
+    done = []
     for _ in range(max_iter if spread else 1):
         sums = _over_blocks(days, models, _move_centres(max_iter), columns, tasks)
         clusters = sums.groupBy(*SERIES, "k", "restart", "n_blocks", "cluster").agg(
@@ -247,11 +249,17 @@ def _settled(days: DataFrame, models: DataFrame, max_iter: int, spread: bool, ta
             F.sum("error").alias("error"),
             F.sum("shift").alias("shift"),
         )
-        if spread:
-            models = cut_lineage(models)
-            if models.where(F.col("shift") > STILL).isEmpty():
-                break
-    return models
+        if not spread:
+            return models
+        models = cut_lineage(models)
+        still = F.col("shift") <= STILL
+        passed = models.agg(F.count_if(still).alias("settled"), F.count_if(~still).alias("moving")).first()
+        if passed.settled:
+            done.append(models.where(still))
+        models = models.where(~still)
+        if not passed.moving:
+            break
+    return reduce(DataFrame.unionByName, done, models)
 
 
 def _silhouettes(labelled: DataFrame, tasks: int) -> DataFrame:
@@ -298,34 +306,46 @@ def cluster_days(
     max_iter: int = 300,
     block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
-    """(entity_id, kind, date, cluster_id, n_clusters, silhouette, vector) for series with two days or more.
+    """(entity_id, kind, date, cluster_id, n_clusters, silhouette, vector), one row per day.
 
     "auto" takes the k in 2 .. min(max_k, days - 1) with the best mean
-    silhouette, the smaller k on a tie, and one cluster below four days. A fixed
-    k needs at least k days.
+    silhouette, the smaller k on a tie, and one cluster below four days. A
+    series of fewer than two days, or than a fixed k, cannot be clustered: its
+    days stay, with NULL for cluster_id, n_clusters and silhouette. Series of
+    one block settle in one pass; only longer ones take several.
     """
-    days = cut_lineage(_placed(cut_lineage(vectors), block_days))
+    least = 2 if n_clusters == "auto" else max(2, int(n_clusters))
+    every = cut_lineage(_placed(cut_lineage(vectors), block_days))
+    days, few = every.where(F.col("n_days") >= least), every.where(F.col("n_days") < least)
     series = days.select(*SERIES, "n_days", "n_blocks").distinct()
     if n_clusters == "auto":
         low = F.when(F.col("n_days") < 4, 1).otherwise(2)
         high = F.when(F.col("n_days") < 4, 1).otherwise(F.least(F.lit(max_k), F.col("n_days") - 1))
     else:
         low = high = F.lit(int(n_clusters))
-        series = series.where(F.col("n_days") >= int(n_clusters))
     series = series.withColumn("k_min", low).withColumn("k_max", high)
+    spread = F.col("n_blocks") > 1
     extent = series.agg(
-        F.max("n_blocks").alias("longest"), F.sum("n_blocks").alias("blocks"), F.max("k_max").alias("k")
+        F.sum("n_blocks").alias("blocks"), F.count_if(spread).alias("long"),
+        F.max(F.when(spread, F.col("k_max"))).alias("k"),
     ).first()
-    spread, tasks = (extent.longest or 1) > 1, _tasks(days, extent.blocks or 0)
-    seeds = _seeded(days, series, restarts, seed, extent.k if spread else 1, spread, tasks)
-    width = F.size("seeds") / F.col("k_max")
-    models = seeds.join(series.select(*SERIES, "k_min"), SERIES).withColumn(
-        "k", F.explode(F.sequence("k_min", "k_max"))
-    ).select(
-        *SERIES, "k", "restart", "n_blocks",
-        F.slice("seeds", F.lit(1), (width * F.col("k")).cast("int")).alias("centres"),
-    )
-    settled = _settled(days, models, max_iter, spread, tasks)
+    tasks = _tasks(days, extent.blocks or 0)
+
+    def fitted(some: Column, passes: int, many: bool) -> DataFrame:
+        part, chosen = days.where(some), series.where(some)
+        seeds = _seeded(part, chosen, restarts, seed, passes, many, tasks)
+        width = F.size("seeds") / F.col("k_max")
+        models = seeds.join(chosen.select(*SERIES, "k_min"), SERIES).withColumn(
+            "k", F.explode(F.sequence("k_min", "k_max"))
+        ).select(
+            *SERIES, "k", "restart", "n_blocks",
+            F.slice("seeds", F.lit(1), (width * F.col("k")).cast("int")).alias("centres"),
+        )
+        return _settled(part, models, max_iter, many, tasks)
+
+    settled = fitted(~spread, 1, False)
+    if extent.long:
+        settled = settled.unionByName(fitted(spread, extent.k, True))
     best = settled.groupBy(*SERIES, "k", "n_blocks").agg(
         F.min_by("centres", F.struct("error", "restart")).alias("centres")
     )
@@ -349,19 +369,40 @@ def cluster_days(
     numbers = chosen.groupBy(*SERIES, "label").agg(F.count(F.lit(1)).alias("size"), F.avg(level).alias("level"))
     order = Window.partitionBy(*SERIES).orderBy(F.desc("size"), F.desc("level"), "label")
     numbers = numbers.withColumn("cluster_id", F.row_number().over(order) - 1)
-    return chosen.join(numbers.select(*SERIES, "label", "cluster_id"), [*SERIES, "label"]).select(
+    found = chosen.join(numbers.select(*SERIES, "label", "cluster_id"), [*SERIES, "label"]).select(
         *SERIES, "date", "cluster_id", F.col("k").alias("n_clusters"), "silhouette", "vector"
     )
+    none = F.lit(None)
+    return found.unionByName(
+        few.select(
+            *SERIES, "date", none.cast("int").alias("cluster_id"), none.cast("int").alias("n_clusters"),
+            none.cast("double").alias("silhouette"), "vector",
+        )
+    )
+
+
+def silhouette(labelled: DataFrame, block_days: int = BLOCK_DAYS) -> DataFrame:
+    """(entity_id, kind, k, silhouette) of days with a cluster_id from 0 on; NULL if only one cluster has days.
+
+    k is one more than the largest cluster_id; days without one are left out.
+    """
+    known = labelled.where("cluster_id is not null")
+    days = _placed(known.select(*SERIES, "date", "vector", F.col("cluster_id").cast("int").alias("label")), block_days)
+    k = days.groupBy(*SERIES).agg((F.max("label") + 1).alias("k"))
+    return _silhouettes(cut_lineage(days.join(k, SERIES)), partitions(labelled.sparkSession))
 
 
 def cluster_choice(clusters: DataFrame) -> DataFrame:
-    """(entity_id, kind, n_clusters, silhouette, n_days) per clustered series."""
-    return clusters.groupBy(*SERIES, "n_clusters", "silhouette").agg(F.count(F.lit(1)).alias("n_days"))
+    """(entity_id, kind, n_clusters, silhouette, n_days, success) per series; no success if it could not be clustered."""
+    return clusters.groupBy(*SERIES, "n_clusters", "silhouette").agg(
+        F.count(F.lit(1)).alias("n_days"), F.first(F.col("n_clusters").isNotNull()).alias("success")
+    )
 
 
 def cluster_summary(clusters: DataFrame) -> DataFrame:
     """Size, share of days, highest value of the centroid, mean spread over the intervals, and the centroid."""
-    cells = clusters.select(*SERIES, "cluster_id", F.posexplode("vector").alias("slot", "v"))
+    labelled = clusters.where("cluster_id is not null")
+    cells = labelled.select(*SERIES, "cluster_id", F.posexplode("vector").alias("slot", "v"))
     slots = cells.groupBy(*SERIES, "cluster_id", "slot").agg(
         F.count(F.lit(1)).alias("size"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("sd")
     )

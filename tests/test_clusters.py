@@ -45,7 +45,9 @@ def silhouette(x, label):
 def test_auto_finds_the_groups_in_one_or_many_blocks(made, block_days):
     vectors, truth = made
     pdf = clusters.cluster_days(vectors, block_days=block_days).toPandas()
-    assert set(pdf.entity_id) == {"a", "b", "c", "same"}  # one day is too few
+    assert set(pdf.entity_id) == {"a", "b", "c", "d", "same"}
+    # One day is too few: it stays, without a cluster.
+    assert pdf[pdf.entity_id == "d"][["cluster_id", "n_clusters", "silhouette"]].isna().all(axis=None)
     for name, k in (("a", 3), ("b", 2), ("c", 1)):
         part = pdf[pdf.entity_id == name]
         assert set(part.n_clusters) == {k}
@@ -64,6 +66,28 @@ def test_same_seed_same_labels_and_sizes_add_up(spark, made):
     assert {r[0]: r[1] for r in sizes if r[0] in "ab"} == {"a": 60, "b": 25}
 
 
+def test_long_and_short_series_in_one_job_agree_with_one_block(made):
+    """Blocks of 30 days: one series has two blocks, the others settle in one pass."""
+    vectors, _ = made
+    assert labels(clusters.cluster_days(vectors, 2, block_days=30)) == labels(clusters.cluster_days(vectors, 2))
+
+
+def test_a_series_below_a_fixed_k_is_reported(made):
+    vectors, _ = made
+    choice = {r.entity_id: r for r in clusters.cluster_choice(clusters.cluster_days(vectors, 4)).collect()}
+    assert {k: r.success for k, r in choice.items()} == {"a": True, "b": True, "c": False, "d": False, "same": True}
+    assert (choice["c"].n_days, choice["c"].n_clusters) == (3, None)
+
+
+def test_silhouette_of_given_labels(made):
+    vectors, _ = made
+    fixed = clusters.cluster_days(vectors, 2)
+    want = {r.entity_id: r.silhouette for r in fixed.where("cluster_id is not null").collect()}
+    for block_days in (1024, 7):
+        got = {r.entity_id: r.silhouette for r in clusters.silhouette(fixed, block_days).collect()}
+        assert {k: got[k] for k in "abc"} == pytest.approx({k: want[k] for k in "abc"}, abs=1e-9)
+
+
 def test_summary_of_one_cluster(spark, made):
     vectors, _ = made
     one = clusters.cluster_days(vectors.where("entity_id = 'b'"), n_clusters=1)
