@@ -264,6 +264,25 @@ def test_repeated_passages(docs, empty, rows):
     assert repeated_passages(empty).isEmpty()
 
 
+def test_a_good_part_of_a_bad_chain_is_found(spark):
+    rng = random.Random(8)
+    own = lambda n: words(rng, n, 10**9)
+    shared = [own(n) for n in (60, 20, 50, 70)]
+    texts = [f"{own(9)} {shared[0]} {own(25)} {shared[1]} {own(9)}" for _ in range(2)]
+    texts += [f"{own(9)} {shared[2]} {own(20)} {shared[3]} {own(9)}" for _ in range(2)]
+    got = {r["doc_id"]: r for r in repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    spans = {i: [(p["first"], p["end"], p["partner"]) for p in r["passages"]] for i, r in got.items()}
+    assert spans == {0: [(9, 69, 1)], 1: [(9, 69, 0)], 2: [(9, 149, 3)], 3: [(9, 149, 2)]}
+    # Runs of 5 and gaps of 6 words follow a passage with a longer gap inside: the whole chain has too few equal words.
+    runs = [own(7) for _ in range(12)]
+    texts = [f"{shared[2]} {own(9)} {shared[0]} " + " ".join(f"{own(8)} {r}" for r in runs) for _ in range(2)]
+    got = repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), window=1).collect()
+    for r in got:
+        (p,) = r["passages"]
+        a, b = (t.split()[p["first"] : p["end"]] for t in texts)
+        assert p["first"] == 0 and p["end"] >= 119 and sum(u == v for u, v in zip(a, b, strict=True)) >= 0.8 * len(a)
+
+
 def test_toxicity_finds_unseen_misspellings(spark, empty):
     rng = random.Random(4)
     plain = lambda: words(rng, 30, 300)
