@@ -261,8 +261,18 @@ def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, ban
 def first_of_groups(docs: DataFrame, similarity: int = 80) -> DataFrame:
     """docs, with all their columns, with one document of each near-duplicate group: the one with its smallest id.
 
-    Rows equal in id and text stay as one; documents without words stay.
+    Rows equal in id and text stay as one; documents without words stay. A row
+    is named by a hash of its id and text, so a null or repeated id stands for
+    none but its own row. A null id comes after all others; of equal ids the
+    one with the least hash stays.
     """
-    gone = near_duplicates(docs, similarity).where("NOT (doc_id <=> component_id)").selectExpr("doc_id AS __doc").distinct()
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__doc"]), "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull()))
+    found = near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), similarity).where("n_shingles > 0")
+    group = stored(found.selectExpr("doc_id AS __key", "component_id AS __group").distinct(), "groups")
+    # Only groups of several rows have one to take out.
+    several = group.where("__key != __group").select("__group").distinct()
+    members = group.join(several, "__group", "left_semi").join(keyed.select("__key", "doc_id").distinct(), "__key")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__key").alias("key"))
+    first = members.groupBy("__group").agg(F.min(order)["key"].alias("__first"))
+    gone = members.join(first, "__group").where("__key != __first").select("__key")
+    return keyed.join(gone, "__key", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])

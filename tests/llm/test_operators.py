@@ -117,6 +117,25 @@ def test_near_duplicates_are_brute_force(docs, empty, rows):
     assert near_duplicates(empty).isEmpty()
 
 
+def test_first_of_groups_with_null_and_repeated_ids(spark):
+    rng = random.Random(12)
+    a, b, c, d, e, f, g = (words(rng, 80) for _ in range(7))
+    near = lambda t: f"{t} end"
+    stay = [(3, a), (7, b), (None, c), (None, ""), (None, None), (9, d), (5, e), (5, f), (None, g)]
+    data = [*stay, (None, a), (None, near(a)), (7, near(a)), (9, near(d)), (12, near(e)), (None, c), (2**40, near(c).upper())]
+    # The copy of c with an id comes before the one without; of two near-equal texts of one id either may stay.
+    table = spark.createDataFrame([(i, t, "x") for i, t in data], "doc_id long, text string, lang string")
+    kept = first_of_groups(table, 80)
+    assert kept.columns == table.columns
+    got = sorted(((r[0], r[1]) for r in kept.collect()), key=str)
+    want = [x for x in stay if x not in [(None, c), (9, d)]] + [(2**40, near(c).upper())]
+    nine = [x for x in got if x[0] == 9]
+    assert nine in ([(9, d)], [(9, near(d))])
+    assert got == sorted(want + nine, key=str)
+    alone = spark.createDataFrame([(None, c), (None, near(c)), (None, g)], "doc_id long, text string")
+    assert sorted(r["text"] == g for r in first_of_groups(alone, 80).collect()) == [False, True]
+
+
 def test_super_minhash_estimates_similarity():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2**63, 900).astype(np.uint64)
