@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney model of word pairs: counted in Spark, kept as sorted hash arrays that workers map."""
+"""Interpolated modified Kneser-Ney model of word pairs or triples: counted in Spark, kept as sorted hash arrays that workers map."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ from meterweave.llm.common import folder
 from meterweave.llm.words import BETWEEN_SPACE, U, gathered, mixed, word_hashes
 
 START, END = U(0x5BD1E995A3B2C1D0), U(0x1B873593CC9E2D51)
-#: Text that one shard of the pair counts stands for, and text counted at a time before the shuffle.
+#: Text that one shard of the pair counts stands for (of triples half of it), and text counted at a time before the shuffle.
 SHARD_BYTES, COUNTED = 32 << 20, 8 << 20
 TEXT = 4 << 20
 
@@ -37,10 +37,23 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, before, n
 
 
+def earlier(before: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The token before `before`; a start comes before the start of a text."""
+    out = np.concatenate([[START], before[:-1]]).astype(U)
+    out[np.cumsum(n) - n] = START
+    return out
+
+
 def pair_key(before: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mixed(before * U(0x9E3779B97F4A7C15) + token)
 
 
+def triple_key(context: np.ndarray, before: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
+    """Hash of the token after the two of context; its top bits are those of its last two tokens, whose shard it is in."""
+    key, top = pair_key(context, token), U(64 - bits)
+    return (pair_key(before, token) >> top << top) | (key >> U(bits))
+
+
 def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
     return np.uint32(len(keys)).tobytes() + keys.astype(U).tobytes() + np.ascontiguousarray(values, dtype=np.uint32).tobytes()
 
@@ -62,17 +75,22 @@ def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
-def count_pairs(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs of a few MB of text with their counts, packed by shard: contexts with the number of their followers, followers, counts."""
+def count_ngrams(order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs, or triples, of a few MB of text with their counts, packed by the shard of their last two tokens:
+    contexts with the number of rows that follow, followers, counts, and of triples the first tokens."""
 
     def flush(texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [tokens(texts[i : i + 512])[:2] for i in range(0, len(texts), 512)]
-        token, before = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        parts = []
+        for i in range(0, len(texts), 512):
+            token, before, n = tokens(texts[i : i + 512])
+            parts.append((token, before, earlier(before, n)) if order == 3 else (token, before))
+        grams = [np.concatenate([p[i] for p in parts]) for i in range(order)]
         del parts
-        order = np.lexsort((token, before))
-        token, before = token[order], before[order]
-        first = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (before[1:] != before[:-1])]))
-        count, token, before = np.diff(np.concatenate([first, [len(token)]])).astype(np.uint32), token[first], before[first]
+        by = np.lexsort((*grams[2:], grams[0], grams[1]))
+        grams = [g[by] for g in grams]
+        first = np.flatnonzero(np.concatenate([[True], np.any([g[1:] != g[:-1] for g in grams], axis=0)]))
+        count = np.diff(np.concatenate([first, [len(by)]])).astype(np.uint32)
+        token, before, *front = (g[first] for g in grams)
         shard = shard_of(pair_key(before, token), bits)
         out = []
         for s in range(1 << bits):
@@ -80,7 +98,7 @@ def count_pairs(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             b = before[at]
             run = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, np.int64)
             length = np.diff(np.concatenate([run, [len(b)]])).astype(np.uint32) if len(b) else run.astype(np.uint32)
-            out.append(packed(b[run], length) + packed(token[at], count[at]))
+            out.append(packed(b[run], length) + packed(token[at], count[at]) + b"".join(f[at].tobytes() for f in front))
         yield pa.record_batch([pa.array(range(1 << bits), pa.int32()), pa.array(out, pa.binary())], names=["shard", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,55 +124,76 @@ def save(path: str, **arrays: np.ndarray) -> None:
         os.replace(f.name, at)
 
 
-def merge_pairs(path: str, bits: int) -> Callable[[tuple, pa.Table], pa.Table]:
-    """Writes the pairs of a shard and passes on what contexts and words have in it, packed by their own shard."""
+def merge_ngrams(path: str, order: int, bits: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    """Writes the triples and pairs of a shard and passes on what contexts and words have in it, packed by their own shard.
+
+    Of triples, a pair's count is the number of tokens that come before it.
+    """
+
+    def known(kind: str, shard: int, key: np.ndarray, count: np.ndarray) -> tuple[str, int, bytes]:
+        once = count == 1
+        save(f"{path}/{kind}-{shard}", once=key[once], more=key[~once], count=count[~once])
+        return f"{kind}_count", 0, packed(np.arange(1, 5), [[int((count == i).sum())] for i in range(1, 5)])
+
+    def by_shard(kind: str, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
+        keys, values = summed(keys, values)
+        shard = shard_of(keys, bits)
+        yield from ((kind, s, packed(keys[shard == s], values[shard == s])) for s in range(1 << bits))
+
+    in_classes = lambda count: np.stack([count, count == 1, count == 2, count > 2], 1)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        before, token, count = [], [], []
+        before, token, count, front, out = [], [], [], [], []
         for block in table["block"].to_pylist():
             b, length = unpacked(block, 1)
             t, c = unpacked(block[4 + 12 * len(b) :], 1)
             before.append(np.repeat(b, length[:, 0]))
             token.append(t)
             count.append(c)
-        before, token, count = np.concatenate(before), np.concatenate(token), np.concatenate(count)
+            if order == 3:
+                front.append(np.frombuffer(block, U, len(t), 8 + 12 * len(b) + 12 * len(t)))
+        before, token, count = np.concatenate(before), np.concatenate(token), np.concatenate(count)[:, 0].astype(np.int64)
+        first_of = lambda x: np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+        added = lambda x, first: np.add.reduceat(x, first) if len(x) else np.zeros(0, np.int64)
+        if order == 3:
+            context = pair_key(np.concatenate(front), before)
+            del front
+            triple = triple_key(context, before, token, bits)
+            by = np.argsort(triple)
+            triple = triple[by]
+            first = first_of(triple)
+            count, by = added(count[by], first), by[first]
+            triple, context, before, token = triple[first], context[by], before[by], token[by]
+            out += [known("triple", key[0].as_py(), triple, count), *by_shard("long", context, in_classes(count))]
+            del triple, context
         pair = pair_key(before, token)
-        order = np.argsort(pair)
-        pair = pair[order]
-        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
-        count = np.add.reduceat(count[order, 0].astype(np.int64), first) if len(pair) else np.zeros(0, np.int64)
-        pair, before, token = pair[first], before[order[first]], token[order[first]]
-        once = count == 1
-        save(f"{path}/pair-{key[0].as_py()}", once=pair[once], more=pair[~once], count=count[~once])
-        out = [("count", 0, packed(np.arange(1, 5), [[int((count == i).sum())] for i in range(1, 5)]))]
-        for kind, keys, values in (
-            ("context", before, np.stack([count, count == 1, count == 2, count > 2], 1)),
-            ("word", token, np.stack([count, np.ones_like(count)], 1)),
-        ):
-            keys, values = summed(keys, values)
-            shard = shard_of(keys, bits)
-            for s in range(1 << bits):
-                out.append((kind, s, packed(keys[shard == s], values[shard == s])))
+        by = np.argsort(pair)
+        pair = pair[by]
+        first = first_of(pair)
+        times, kinds, by = added(count[by], first), np.diff(np.concatenate([first, [len(pair)]])), by[first]
+        pair, before, token = pair[first], before[by], token[by]
+        count = kinds if order == 3 else times
+        out += [known("pair", key[0].as_py(), pair, count), *by_shard("context", before, in_classes(count)), *by_shard("word", token, np.stack([times, np.ones_like(times)], 1))]
         kinds, shards, blocks = zip(*out, strict=True)
         return pa.table([pa.array(kinds), pa.array(shards, pa.int32()), pa.array(blocks, pa.binary())], names=["kind", "shard", "block"])
 
     return run
 
 
-WIDTH = {"count": 1, "context": 4, "word": 2}
+WIDTH = {"triple_count": 1, "pair_count": 1, "long": 4, "context": 4, "word": 2}
 
 
 def merge_parts(path: str) -> Callable[[tuple, pa.Table], pa.Table]:
-    """Writes the contexts or words of a shard; returns sums over them: pairs or words by count, and totals."""
+    """Writes the contexts or words of a shard; returns sums over them: triples, pairs or words by count, and totals."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         kind, shard = key[0].as_py(), key[1].as_py()
         parts = [unpacked(b, WIDTH[kind]) for b in table["block"].to_pylist()]
         keys, values = summed(np.concatenate([k for k, _ in parts]), np.concatenate([v for _, v in parts]))
-        if kind == "count":
+        if kind.endswith("_count"):
             sums = values[:, 0].tolist()
-        elif kind == "context":
-            save(f"{path}/context-{shard}", key=keys, total=values[:, 0], types=values[:, 1:].astype(np.uint32))
+        elif kind != "word":
+            save(f"{path}/{kind}-{shard}", key=keys, total=values[:, 0], types=values[:, 1:].astype(np.uint32))
             sums = []
         else:
             save(f"{path}/word-{shard}", key=keys, count=values[:, 0], types=values[:, 1])
@@ -174,10 +213,12 @@ def discounts(n: list[int]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Folder of the arrays, shard bits, discounts of pairs and of words, and totals over the training text."""
+    """Folder of the arrays, order, shard bits, discounts of triples, pairs and words, and totals over the training text."""
 
     path: str
+    order: int
     bits: int
+    triple_discount: tuple
     pair_discount: tuple
     word_discount: tuple
     by_types: tuple
@@ -185,9 +226,9 @@ class Model:
     tokens: int
     pairs: int
 
-    def probabilities(self, token: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(chance of each token after the one before it, its count in the training text)."""
-        d, e = np.array(self.pair_discount), np.array(self.word_discount)
+    def probabilities(self, token: np.ndarray, before: np.ndarray, front: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(chance of each token after the one or two before it, its count in the training text)."""
+        e = np.array(self.word_discount)
         word, spot = np.unique(token, return_inverse=True)
         count, types = self._find("word", word, "count", "types")
         uniform = 1.0 / (self.words + 1)
@@ -196,16 +237,25 @@ class Model:
         else:
             lower = np.full(len(word), uniform)
         lower, count = lower[spot], count[spot]
-        context, at = np.unique(before, return_inverse=True)
-        total, kinds = self._find("context", context, "total", "types")
+        chance = self._after("pair", pair_key(before, token), "context", before, self.pair_discount, lower)
+        if self.order == 3:
+            context = pair_key(front, before)
+            chance = self._after("triple", triple_key(context, before, token, self.bits), "long", context, self.triple_discount, chance)
+        return chance, count
+
+    def _after(self, kind: str, key: np.ndarray, context_kind: str, context: np.ndarray, discount: tuple, lower: np.ndarray) -> np.ndarray:
+        """The chance of each key in its context, from its own count and the chance in the shorter context."""
+        d = np.array(discount)
+        context, at = np.unique(context, return_inverse=True)
+        total, kinds = self._find(context_kind, context, "total", "types")
         left = kinds.reshape(len(context), 3) @ d[1:] if kinds.ndim == 2 else np.zeros(len(context))
         total, left = total[at], left[at]
-        pair, back = np.unique(pair_key(before, token), return_inverse=True)
-        (more,) = self._find("pair", pair, "count", key="more")
-        times = np.where(more > 0, more, self._has("pair", pair, "once"))[back]
+        key, back = np.unique(key, return_inverse=True)
+        (more,) = self._find(kind, key, "count", key="more")
+        times = np.where(more > 0, more, self._has(kind, key, "once"))[back]
         seen = np.maximum(total, 1)
         high = np.maximum(times - d[np.minimum(times, 3)], 0) / seen + left / seen * lower
-        return np.where(total > 0, high, lower), count
+        return np.where(total > 0, high, lower)
 
     def _parts(self, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
         ends = np.searchsorted(shard_of(keys, self.bits), np.arange((1 << self.bits) + 1))
@@ -249,33 +299,35 @@ def local_path(path: str) -> str:
     return url.path
 
 
-def train(docs: DataFrame, model_dir: str | None = None) -> Model:
-    """Counts the pairs of all documents and writes the model's arrays.
+def train(docs: DataFrame, model_dir: str | None = None, order: int = 2) -> Model:
+    """Counts the pairs (order 2) or triples (order 3) of all documents and writes the model's arrays.
 
     Texts are counted some MB at a time, so a frequent pair leaves a task once;
-    blocks of pairs go to the shard that the pair's hash names, which merges them
-    into sorted arrays. A frequent context or word is thereby spread over all
+    blocks go to the shard that the hash of their last two tokens names, which
+    merges them into sorted arrays, so that all triples of a pair are in one. A frequent context or word is thereby spread over all
     shards, and its sums go on from there. Only sums of counts reach the driver.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 or 3")
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    bits = max(3, (max(1, size) // SHARD_BYTES).bit_length())
+    bits = max(3, (max(1, size) // (SHARD_BYTES >> order - 2)).bit_length())
     path = local_path(model_dir or folder(spark, "pairs"))
     os.makedirs(path, exist_ok=True)
-    blocks = docs.select("text").mapInArrow(count_pairs(bits), "shard int, block binary")
-    parts = blocks.groupBy("shard").applyInArrow(merge_pairs(path, bits), "kind string, shard int, block binary")
+    blocks = docs.select("text").mapInArrow(count_ngrams(order, bits), "shard int, block binary")
+    parts = blocks.groupBy("shard").applyInArrow(merge_ngrams(path, order, bits), "kind string, shard int, block binary")
     sums = parts.groupBy("kind", "shard").applyInArrow(merge_parts(path), "kind string, sums array<long>").collect()
     added = lambda kind, n: [sum(x) for x in zip(*(r["sums"] for r in sums if r["kind"] == kind), strict=True)] or [0] * n
     word = added("word", 7)
     types_3 = word[4] - word[0] - word[1]
-    return Model(path, bits, tuple(discounts(added("count", 4))), tuple(discounts(word[:4])), (word[0], word[1], types_3), word[4], word[5], word[6])
+    return Model(path, order, bits, tuple(discounts(added("triple_count", 4))), tuple(discounts(added("pair_count", 4))), tuple(discounts(word[:4])), (word[0], word[1], types_3), word[4], word[5], word[6])
 
 
 def score(docs: DataFrame, model: Model, keep: list[Column | str]) -> DataFrame:
     """The columns of keep, n_tokens, n_known (tokens seen in training), base_score and score, all logs to base 10.
 
     docs has text. score adds up log10 of each token's chance after the one
-    before it; base_score that of the token's own count with 0.1 added to each
+    before it, or the two if the model has order 3; base_score that of the token's own count with 0.1 added to each
     of the words and one more. exp of minus the mean score is the perplexity.
     Null and empty texts have one token, the end. With no training text every
     token has the same chance.
@@ -286,7 +338,7 @@ def score(docs: DataFrame, model: Model, keep: list[Column | str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in gathered(batches, "text", TEXT):
             token, before, n = tokens(texts)
-            chance, count = model.probabilities(token, before)
+            chance, count = model.probabilities(token, before, earlier(before, n))
             first = np.cumsum(n) - n
             base = np.log10((count + 0.1) / (model.tokens + 0.1 * (model.words + 1)))
             sums = [np.add.reduceat(x, first) for x in ((count > 0).astype(np.int64), base, np.log10(chance))]

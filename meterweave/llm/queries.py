@@ -30,7 +30,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0
-    model = ngrams.train(docs.where(~held_out))
+    model = ngrams.train(docs.where(~held_out), order=3)
     scores = ngrams.score(docs, model, ["doc_id", held_out.alias("held_out")])
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -196,6 +196,33 @@ def test_kneser_ney_is_brute_force(docs, empty, rows):
     assert ngrams.score(docs, nothing, ["doc_id"]).count() == len(rows) and ngrams.score(empty, model, ["doc_id"]).isEmpty()
 
 
+def test_kneser_ney_of_order_three_is_brute_force(docs, empty, rows):
+    tokens = {r[0]: [*(r[1] or "").lower().split(), "</s>"] for r in rows}
+    learn = [i for i in tokens if zlib.crc32(str(i).encode()) % 10]
+    grams = lambda i: list(zip(["<s>", "<s>", *tokens[i]], ["<s>", *tokens[i]], tokens[i], strict=False))
+    triples = collections.Counter(g for i in learn for g in grams(i))
+    pairs = collections.Counter(g[1:] for g in triples)
+    types = collections.Counter(w for _, w in pairs)
+    by = lambda c: ngrams.discounts([sum(v == i for v in c.values()) for i in range(1, 5)])
+    e = by(types)
+    spread = sum(e[min(c, 3)] for c in types.values()) / len(pairs)
+
+    def level(counts):
+        d, total, left = by(counts), collections.Counter(), collections.Counter()
+        for g, c in counts.items():
+            total[g[:-1]] += c
+            left[g[:-1]] += d[min(c, 3)]
+        return lambda g, low: (max(counts[g] - d[min(counts[g], 3)], 0) + left[g[:-1]] * low) / total[g[:-1]] if total[g[:-1]] else low
+
+    two, three = level(pairs), level(triples)
+    model = ngrams.train(docs.where("pmod(crc32(cast(doc_id AS string)), 10) != 0"), order=3)
+    assert model.tokens == sum(triples.values()) and model.words == len(types) and model.pairs == len(pairs)
+    for r in ngrams.score(docs, model, ["doc_id"]).collect():
+        want = sum(math.log10(three(g, two(g[1:], max(types[g[2]] - e[min(types[g[2]], 3)], 0) / len(pairs) + spread / (len(types) + 1)))) for g in grams(r["doc_id"]))
+        assert abs(r["score"] - want) < 1e-6
+    assert ngrams.score(docs, ngrams.train(empty, order=3), ["doc_id"]).count() == len(rows)
+
+
 def test_mixing(docs, empty, rows):
     got = mix_taken(docs, block=8).collect()
     assert sorted(r["doc_id"] for r in got) == [r[0] for r in rows]
