@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from meterweave.llm.common import stored
 
 TREES = 8
-#: Least rows of a leaf, and leaves that a query looks into, over all trees.
-LEAF_ROWS, PROBES = 400, 160
+#: Least rows of a leaf; leaves that a query looks into, over all trees: so many and this share of them at least.
+LEAF_ROWS, PROBES, PROBED = 400, 160, 5 / 32
 #: Rows from which the trees are grown, and the least of them in a leaf.
 SAMPLE, LEAF_SAMPLE = 20_000, 8
 KEY = ["h1", "h2"]
@@ -127,8 +127,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREE
     vectors has vec_id and embedding; is_query says which rows ask. Every row
     but the query's own is a candidate. Trees are grown from some `sample` rows,
     picked by a hash; every distinct vector is then put into its leaf of each
-    tree. A query looks into `probes` leaves and ranks all rows in them by their
-    exact score. Equal vectors are one entry that carries its k + 1 smallest
+    tree. A query looks into `probes` leaves, or the share PROBED of all if that
+    is more, and ranks all rows in them by their exact score. Equal vectors are one entry that carries its k + 1 smallest
     ids, which is all that any query can return, so copies make no leaf large;
     queries of equal vectors are searched once.
 
@@ -151,6 +151,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREE
     picked = entries.where(F.pmod(F.xxhash64(F.lit(seed), *KEY), F.lit(part)) < int(part * min(1.0, sample / n))).select(*KEY, "embedding")
     grown = picked.toArrow().sort_by([("h1", "ascending"), ("h2", "ascending")])
     depth = max(0, int(math.log2(max(1.0, min(n / leaf_rows, len(grown) / LEAF_SAMPLE)))))
+    probes = max(probes, math.ceil(PROBED * trees * 2**depth))
     held = vectors.sparkSession.sparkContext.broadcast(grow(lifted(matrix(grown["embedding"].combine_chunks()), longest), trees, depth, seed))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +164,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREE
         for batch in batches:
             q = matrix(batch.column(2))
             q = np.hstack([q, np.zeros((len(q), 1))])
-            for low in range(0, len(q), 64):
-                leaves = [held.value.nearest_leaves(x, probes) for x in q[low : low + 64]]
+            step = max(1, 10_240 // probes)
+            for low in range(0, len(q), step):
+                leaves = [held.value.nearest_leaves(x, probes) for x in q[low : low + step]]
                 row = np.repeat(np.arange(len(leaves)), [len(x) for x in leaves])
                 again = batch.slice(low, len(leaves)).take(pa.array(row))
                 yield pa.record_batch([pa.array([x for y in leaves for x in y], pa.int64()), *again.columns], names=["leaf", "h1", "h2", "embedding"])

@@ -292,6 +292,16 @@ def test_nearest(spark):
     assert nearest(table.limit(0), table["vec_id"] % 20 == 0).isEmpty()
 
 
+def test_nearest_looks_into_a_share_of_many_leaves(spark):
+    x = np.random.default_rng(6).normal(size=(6000, 24)).astype(np.float32)
+    table = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {(r["query_id"], r["vec_id"]) for r in nearest(table, table["vec_id"] % 100 == 0, k=5, leaf_rows=8).collect()}
+    score = x[::100].astype(float) @ x.astype(float).T
+    score[np.arange(60), np.arange(0, 6000, 100)] = -np.inf
+    want = {(100 * q, int(i)) for q in range(60) for i in np.argsort(-score[q])[:5]}
+    assert len(got & want) >= 0.93 * len(want)
+
+
 def test_repeated_passages(docs, empty, rows):
     text = {r[0]: (r[1] or "").lower().split() for r in rows}
     first, later = {}, set()
