@@ -320,6 +320,27 @@ def test_repeated_passages(docs, empty, rows):
     assert repeated_passages(empty).isEmpty()
 
 
+def test_passages_with_every_fifth_word_changed_are_found(spark):
+    rng = random.Random(15)
+    own = lambda n: words(rng, n, 10**9).split()
+    data = []
+    for i in range(20):
+        passage = own(50 + i)
+        for _ in range(2):
+            data.append(" ".join([*own(9), *(own(1)[0] if j % 5 == 4 and j < 49 else w for j, w in enumerate(passage)), *own(9)]))
+    table = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    got = {r["doc_id"]: [(p["first"], p["end"], p["partner"]) for p in r["passages"]] for r in repeated_passages(table).collect()}
+    assert got == {i: [(9, 59 + i // 2, i ^ 1)] for i in range(40)}
+    # Changes anywhere: the ends may be runs of fewer words than a seed.
+    data = []
+    for _ in range(60):
+        passage = own(50)
+        changed = rng.sample(range(1, 49), 10)
+        data += [" ".join([*own(9), *p, *own(9)]) for p in (passage, [own(1)[0] if j in changed else w for j, w in enumerate(passage)])]
+    got = repeated_passages(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")).collect()
+    assert all([(p["first"], p["end"], p["partner"]) for p in r["passages"]] == [(9, 59, r["doc_id"] ^ 1)] for r in got)
+
+
 def test_a_good_part_of_a_bad_chain_is_found(spark):
     rng = random.Random(8)
     own = lambda n: words(rng, n, 10**9)
