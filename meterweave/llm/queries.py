@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterweave.llm import ngrams
 from meterweave.llm.common import remainder, table
 from meterweave.llm.decontamination import find_leaks
+from meterweave.llm.divergence import source_divergence
+from meterweave.llm.encoding import decoded, encoded
 from meterweave.llm.lines import drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken
 from meterweave.llm.near import near_duplicates
@@ -18,6 +21,7 @@ from meterweave.llm.passages import passage_classes, repeated_passages
 from meterweave.llm.repeats import remove_repeats
 from meterweave.llm.sharding import shard_rows
 from meterweave.llm.toxicity import THRESHOLD, fit, scored
+from meterweave.llm.variants import spelling_variants
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +93,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    back = decoded(encoded(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_lm_score": op2_lm_score,
@@ -100,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_passages": op8_fuzzy_passages,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_encoding": op12_encoding,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -138,4 +160,72 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY rn, doc_id
     """,
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE bits AS (
+            SELECT list(c ORDER BY b) AS crc FROM (
+                SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) AS c FROM (SELECT unnest(range(256)) AS b)
+            )
+        ), docs AS (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+') AS runs
+            FROM documents
+        ), found AS (
+            SELECT doc, run, count(*) AS n FROM (SELECT doc, unnest(runs) AS run FROM docs) GROUP BY doc, run
+        ), bytes AS (
+            SELECT doc, run, n, list_transform(string_split(doc || ':' || run, ''), lambda c: unicode(c)) AS points FROM found WHERE length(run) >= 5
+        ), summed AS (
+            SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(points, lambda p:
+                CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END))), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS h
+            FROM bytes, bits
+        ), words AS (
+            SELECT word, sum(n)::BIGINT AS n FROM (
+                SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n FROM summed
+            ) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+        ), cut AS (
+            SELECT DISTINCT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), pairs AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION
+            SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.rest
+            UNION
+            SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+        ), near AS (
+            SELECT word, count(*) AS n_near, max(other_n) AS top, first(other ORDER BY other_n DESC, encode(other)) AS other FROM pairs GROUP BY word
+        ), forms AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN other END AS form, CASE WHEN top >= 2 * w.n THEN top END AS form_n
+            FROM words w LEFT JOIN near r ON w.word = r.word
+        ), steps AS (
+            SELECT word, word AS root FROM forms
+            UNION ALL
+            SELECT s.word, f.form FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NOT NULL
+        )
+        SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON f.word = s.word JOIN forms g ON s.root = g.word WHERE g.form IS NULL
+    """,
+    "op13_source_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rn, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), words AS (SELECT rn, lang, source, unnest(terms) AS term FROM docs),
+        kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT rn) >= 10),
+        counts AS (SELECT w.lang, source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY w.lang, source, w.term),
+        sources AS (SELECT DISTINCT lang, source FROM docs),
+        totals AS (SELECT s.lang, s.source, coalesce(sum(n), 0) AS total FROM sources s LEFT JOIN counts c ON s.lang = c.lang AND s.source = c.source GROUP BY s.lang, s.source),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        shares AS (
+            SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+                1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (t.total + 2 * l.v) AS p,
+                1 + 1000000000::HUGEINT * (k.n + 2) // (l.total + 2 * l.v) AS whole
+            FROM totals t JOIN langs l ON t.lang = l.lang JOIN kept k ON t.lang = k.lang
+            LEFT JOIN counts c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term
+        ), rows AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term
+                    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+            FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - whole) * (p - whole) // (p + whole) FROM shares WHERE n > 0 AND p > whole
+        ), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM rows)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+    """,
 }
