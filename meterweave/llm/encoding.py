@@ -10,6 +10,7 @@ from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -21,8 +22,12 @@ from meterweave.llm.words import gathered, lists
 PIECE = 8192
 #: Code points at the edge of a text that may still change their tokens' bounds there: more than any special token has.
 MARGIN = 16
+#: Tokens decoded at a time.
+DECODED = 1 << 20
+#: A stop or comma after one of these letters always begins a word of the tokenizer, as if there were space.
+STOPS = ("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,])", r"\1 \2")
 #: Words whose tokens a task remembers, and bytes of the longest of them.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 
 
 @cache
@@ -40,18 +45,27 @@ class Words:
     def __init__(self, path: str):
         self.tokenizer, self.known = tokenizer(path), {}
 
-    def ids(self, texts: list[bytes]) -> list[list[int]]:
+    def ids(self, texts: list[bytes]) -> pa.ListArray:
+        """The ids of each text; every different word of all texts is encoded once."""
         if len(self.known) > REMEMBERED:
             self.known = {}
-        words = [t.split() for t in texts]
-        new = list({w for ws in words for w in ws} - self.known.keys())
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        spaced = pc.replace_substring_regex(pa.array(texts, pa.binary()).cast(pa.string()), *STOPS)
+        words = pc.ascii_split_whitespace(spaced)
+        coded = words.flatten().dictionary_encode()
+        distinct, code = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        new = [w for w in distinct if w not in self.known]
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         self.known.update(zip(new, (e.ids for e in found), strict=True))
-        out = [list(chain.from_iterable(map(self.known.__getitem__, ws))) for ws in words]
+        table = [self.known[w] for w in distinct]
         for w in new:
             if len(w) > LONGEST:
                 del self.known[w]
-        return out
+        size = np.fromiter(map(len, table), np.int64, len(table))
+        flat, start = np.fromiter(chain.from_iterable(table), np.int32, size.sum()), np.cumsum(size) - size
+        n = size[code]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(start[code] - ends[:-1], n) + np.arange(ends[-1])]
+        return lists(ids, np.diff(ends[words.offsets.to_numpy()]), pa.int32())
 
 
 def apart(c: str) -> bool:
@@ -142,11 +156,6 @@ def tree(parts: list[tuple[str, list[int]]], encode: Callable[[str], Encoding])
     return parts[0][1]
 
 
-def id_lists(found: list[list[int]]) -> pa.Array:
-    counts = [len(i) for i in found]
-    return lists(np.fromiter(chain.from_iterable(found), np.int32, sum(counts)), np.array(counts, np.int64), pa.int32())
-
-
 def encoded(docs: DataFrame, path: str, piece: int = PIECE) -> DataFrame:
     """doc_id and ids, the tokens of each text by the tokenizer file at path, without special tokens added.
 
@@ -167,7 +176,7 @@ def encoded(docs: DataFrame, path: str, piece: int = PIECE) -> DataFrame:
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(path)
         for batch, texts in gathered(batches, "text"):
-            yield pa.record_batch([batch.column("doc_id"), id_lists(words.ids(texts))], ["doc_id", "ids"])
+            yield pa.record_batch([batch.column("doc_id"), words.ids(texts)], ["doc_id", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,12 +188,12 @@ def encoded(docs: DataFrame, path: str, piece: int = PIECE) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(path)
         for batch, texts in gathered(batches, "part"):
-            yield pa.record_batch([*batch.columns, id_lists(words.ids(texts))], [*batch.schema.names, "ids"])
+            yield pa.record_batch([*batch.columns, words.ids(texts)], [*batch.schema.names, "ids"])
 
     def whole(parts: pa.Table) -> pa.Table:
         rows = parts.sort_by("at").select(["part", "ids"]).to_pylist()
         ids = tree([(r["part"], r["ids"]) for r in rows], lambda text: tokenizer(path).encode(text, add_special_tokens=False))
-        return pa.table([parts.column("doc_id").slice(0, 1), id_lists([ids]), parts.column("copies").slice(0, 1)], ["doc_id", "ids", "copies"])
+        return pa.table([parts.column("doc_id").slice(0, 1), pa.array([ids], pa.list_(pa.int32())), parts.column("copies").slice(0, 1)], ["doc_id", "ids", "copies"])
 
     def schema(names: str) -> StructType:
         return StructType([StructField("doc_id", kind), *StructType.fromDDL(names).fields])
@@ -204,8 +213,19 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     fields = [f for f in rows.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library = tokenizer(path)
+        names = pa.array([library.id_to_token(i) for i in range(library.get_vocab_size())], pa.string())
         for batch in batches:
-            texts = tokenizer(path).decode_batch([i or [] for i in batch.column("ids").to_pylist()], skip_special_tokens=False)
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
+            size = np.cumsum(pc.list_value_length(batch.column("ids")).fill_null(0).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(size // DECODED)) + 1), len(batch)] if len(batch) else []
+            for low, high in pairwise(cuts):
+                part = batch.slice(low, high - low)
+                ids = pc.coalesce(part.column("ids"), pa.scalar([], pa.list_(pa.int32())))
+                if library.decoder is None:
+                    # Such a file's tokens are parted by spaces.
+                    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False))]), pa.int32()), names.take(ids.flatten())), " ")
+                else:
+                    text = pa.array(library.decode_batch(ids.to_pylist(), skip_special_tokens=False), pa.string())
+                yield pa.record_batch([*part.columns, text], [*part.schema.names, "text"])
 
     return rows.select(*(f.name for f in fields)).mapInArrow(run, StructType([*fields, *StructType.fromDDL("text string").fields]))
