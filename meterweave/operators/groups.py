@@ -10,23 +10,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from meterweave import schema
-from meterweave.session import cut_lineage
+
+
+#: Depth that a tree of groups may have.
+LEVELS = 1000
 
 
 def descendants(group_children: DataFrame) -> DataFrame:
     """All pairs (parent, child) connected by one or more steps.
 
-    Paths up to twice the length known are added each round, so a tree of depth d
-    takes log2(d) rounds. A cycle shows as a pair (a, a) and does not prevent the end.
+    A recursive query that walks on from a group until it meets one that is
+    already on its path. A cycle so shows as a pair (a, a) and does not prevent
+    the end. Nothing runs before the result is read.
     """
-    reach = cut_lineage(group_children.select("parent", "child").distinct())
-    while True:
-        onward = reach.select(F.col("parent").alias("child"), F.col("child").alias("further"))
-        longer = reach.join(onward, "child").select("parent", F.col("further").alias("child")).distinct()
-        added = cut_lineage(longer.join(reach, ["parent", "child"], "left_anti"))
-        if added.isEmpty():
-            return reach
-        reach = reach.unionByName(added)
+    edges = group_children.select("parent", "child").where("parent is not null and child is not null").distinct()
+    walked = edges.sparkSession.sql(
+        """
+        WITH RECURSIVE reach(parent, child, path, again) MAX RECURSION LEVEL {levels} AS (
+            SELECT parent, child, array(parent, child), parent = child FROM {edges}
+            UNION ALL
+            SELECT r.parent, e.child, array_append(r.path, e.child), array_contains(r.path, e.child)
+            FROM reach r JOIN {edges} e ON r.child = e.parent WHERE NOT r.again
+        )
+        SELECT DISTINCT parent, child FROM reach
+        """,
+        edges=edges, levels=LEVELS,
+    )
+    return walked
 
 
 def shared_ids(meters: DataFrame, names: DataFrame) -> DataFrame:
@@ -97,15 +107,18 @@ def group_tree_check(
 
 
 def resolve_groups(group_members: DataFrame, group_children: DataFrame) -> DataFrame:
-    """(group_name, meter_id): own members and those of all descendants, each meter once per group."""
+    """(group_name, meter_id): own members and those of all descendants, each meter once per group.
+
+    Reading the result fails if a group is its own descendant.
+    """
     reach = descendants(group_children)
-    looped = reach.where("parent = child").limit(1).collect()
-    if looped:
-        raise ValueError(f"cyclic group hierarchy at {looped[0].parent!r}")
-    inherited = group_members.join(reach.withColumnRenamed("child", "group_name"), "group_name").select(
-        F.col("parent").alias("group_name"), "meter_id"
-    )
-    return group_members.select("group_name", "meter_id").unionByName(inherited).distinct()
+    cycle = F.raise_error(F.concat(F.lit("cyclic group hierarchy at "), "parent")).cast("string")
+    parent = F.when(F.col("parent") == F.col("group_name"), cycle).otherwise(F.col("parent"))
+    # Cycles meet no members when they have none: they are checked on the pairs themselves.
+    sound = reach.withColumnRenamed("child", "group_name").withColumn("parent", parent)
+    looped = sound.where("parent is null").select(F.col("parent").alias("group_name"), F.lit(None).cast("string").alias("meter_id"))
+    inherited = group_members.join(sound, "group_name").select(F.col("parent").alias("group_name"), "meter_id")
+    return group_members.select("group_name", "meter_id").unionByName(inherited).unionByName(looped).distinct()
 
 
 def portfolio_members(meters: DataFrame, excluded: DataFrame) -> DataFrame:

@@ -39,8 +39,12 @@ def test_deep_chain_and_diamond(spark):
 def test_cycles_are_refused_and_reported(spark):
     members = pairs(spark, [("X", "B001"), ("Y", "NOPE")], ("group_name", "meter_id"))
     children = pairs(spark, [("X", "Y"), ("Y", "X"), ("Z", "Z"), ("X", "W")], ("parent", "child"))
-    with pytest.raises(ValueError, match="cyclic"):
-        groups.resolve_groups(members, children)
+    with pytest.raises(Exception, match="cyclic"):
+        groups.resolve_groups(members, children).collect()
+    # A cycle of groups without members is one as well.
+    empty = pairs(spark, [("P", "Q"), ("Q", "P")], ("parent", "child"))
+    with pytest.raises(Exception, match="cyclic"):
+        groups.resolve_groups(members, empty).collect()
     meters = pairs(spark, [("B001",), ("B001",), (None,)], ("meter_id",))
     names = pairs(spark, [("X",), ("Y",), ("Z",), (None,)], ("name",))
     got = sorted(r.message for r in groups.group_tree_check(meters, names, members, children).collect())
@@ -52,6 +56,16 @@ def test_cycles_are_refused_and_reported(spark):
     ]
 
 
+def test_groups_are_walked_when_they_are_read(spark):
+    """Building the plans starts no job."""
+    members, children = tree(spark)
+    spark.sparkContext.setJobGroup("building", "")
+    groups.resolve_groups(members, children)
+    groups.group_tree_check(pairs(spark, [("B001",)], ("meter_id",)), pairs(spark, [("Campus_A",)], ("name",)), members, children)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def observed(spark, **meters):
     frames = [gaps.fill_gaps(readings(spark, values, name), 60) for name, values in meters.items()]
     out = frames[0]
