@@ -29,11 +29,14 @@ def class_threshold(load: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     return load.withColumns({n: meets(t) for n, t in zip(names, thresholds)})
 
 
-def class_percentile(load: DataFrame, percentiles: Sequence[float]) -> DataFrame:
-    """Add top_pct_<p> per percentile: demand at or above the entity's exact percentile."""
+def class_percentile(load: DataFrame, percentiles: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """Add top_pct_<p> per percentile: demand at or above the entity's exact percentile.
+
+    accuracy is that of the sketch that narrows the search; the result is exact with any.
+    """
     names = _distinct([f"top_pct_{round(p * 100)}" for p in percentiles])
     load = with_date(load)
-    cutoffs = exact_percentiles(load, "entity_id", KW, percentiles)
+    cutoffs = exact_percentiles(load, "entity_id", KW, percentiles, accuracy)
     flagged = join_facts(load, ENTITY, cutoffs).withColumns(
         {n: F.coalesce(F.col(KW) >= F.col("cutoffs")[i], F.lit(False)) for i, n in enumerate(names)}
     )
