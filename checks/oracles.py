@@ -502,6 +502,16 @@ SELECT meter_id AS entity_id, CAST(timestamp AS DATE) AS date, {r('avg(temperatu
        {r('max(temperature_f)', 'maximum_temperature_f')}, {r('min(temperature_f)', 'minimum_temperature_f')},
        {r('max(temperature_f) - min(temperature_f)', 'temperature_range_f')}
 FROM obs GROUP BY 1, 2""", "obs")
+oracle("entity_temperature", f"""
+SELECT entity_id, CAST(timestamp AS DATE) AS date, {r('avg(temperature_f)', 'mean_temperature_f')},
+       {r('max(temperature_f)', 'maximum_temperature_f')}, {r('min(temperature_f)', 'minimum_temperature_f')},
+       {r('max(temperature_f) - min(temperature_f)', 'temperature_range_f')}
+FROM obs JOIN (
+    SELECT entity_id, meter_id
+    FROM (SELECT * FROM joint UNION ALL SELECT 'm' || c_custkey, 'm' || c_custkey FROM customer)
+    JOIN (SELECT meter_id, count(temperature_f) AS known FROM obs GROUP BY 1 HAVING known > 0) USING (meter_id)
+    QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY known DESC, meter_id) = 1) USING (meter_id)
+GROUP BY 1, 2""", "obs", "joint")
 oracle("temperature_bands", f"""
 SELECT meter_id, timestamp, {r('temperature_f')},
        CASE WHEN temperature_f <= {BANDS[0]} THEN 'below-32' WHEN temperature_f <= 50 THEN '32-50'
@@ -546,6 +556,7 @@ oracle("class_percentile", """
 SELECT entity_id, timestamp, coalesce(demand_kw >= q99, false) AS top_pct_99, coalesce(demand_kw >= q95, false) AS top_pct_95
 FROM load LEFT JOIN (SELECT entity_id, quantile_cont(demand_kw, 0.99) AS q99, quantile_cont(demand_kw, 0.95) AS q95
                      FROM load GROUP BY 1) USING (entity_id)""", "load")
+oracle("class_percentile_coarse", ORACLES["class_percentile"])
 oracle("class_rank", """
 SELECT entity_id, timestamp, place <= 10 AS top_rank_10, place <= 25 AS top_rank_25, place <= 50 AS top_rank_50
 FROM (SELECT *, CASE WHEN demand_kw IS NULL THEN 1000000000
@@ -629,6 +640,34 @@ FROM ({DAYS_APART}) JOIN ({SILHOUETTE.format(labelled=DAYS_APART)}) USING (entit
 oracle("silhouette_given_labels", f"""
 SELECT entity_id, kind, {r("silhouette")} FROM ({SILHOUETTE.format(labelled=BEFORE_NOON)})""", "vectors", "features")
 
+FAR_APART = """
+    SELECT entity_id, kind, date, list_transform(vector, lambda v: v + 4 * largest * raised) AS vector, n,
+           CASE WHEN 2 * sum(raised) OVER (PARTITION BY kind) >= n THEN 1 - raised ELSE raised END AS label
+    FROM (SELECT *, (row_number() OVER (PARTITION BY entity_id, kind ORDER BY date) + 1) % 2 AS raised,
+                 count(*) OVER (PARTITION BY kind) AS n, max(list_max(vector)) OVER (PARTITION BY kind) AS largest
+          FROM vectors)"""
+POOLED = """
+    SELECT kind, avg(CASE WHEN b IS NULL THEN NULL WHEN a IS NULL OR greatest(a, b) = 0 THEN 0
+                          ELSE (b - a) / greatest(a, b) END) AS silhouette
+    FROM (SELECT entity_id, kind, date, max(CASE WHEN label = other AND size > 1 THEN total / (size - 1) END) AS a,
+                 min(CASE WHEN label <> other THEN total / size END) AS b
+          FROM (SELECT x.entity_id, x.kind, x.date, x.label, y.label AS other, count(*) AS size,
+                       sum(list_distance(CAST(x.vector AS DOUBLE[]), CAST(y.vector AS DOUBLE[])) ^ 2) AS total
+                FROM ({labelled}) x JOIN ({labelled}) y ON x.kind = y.kind
+                GROUP BY ALL)
+          GROUP BY ALL)
+    GROUP BY ALL"""
+oracle("cluster_days_pooled", f"""
+SELECT entity_id, kind, date, CASE WHEN n > 1 THEN CAST(label AS INTEGER) END AS cluster_id,
+       CASE WHEN n > 1 THEN 2 END AS n_clusters, {r("CASE WHEN n > 1 THEN silhouette END", "silhouette")}
+FROM ({FAR_APART}) JOIN ({POOLED.format(labelled=FAR_APART)}) USING (kind)""", "vectors")
+oracle("cluster_auto_k_pooled", f"""
+SELECT DISTINCT kind, CASE WHEN n > 3 THEN 2 WHEN n > 1 THEN 1 END AS n_clusters,
+       {r("CASE WHEN n > 3 THEN silhouette END", "silhouette")}, CASE WHEN n > 1 THEN n ELSE 0 END AS n_days, n > 1 AS success
+FROM ({FAR_APART}) JOIN ({POOLED.format(labelled=FAR_APART)}) USING (kind)""", "vectors")
+oracle("silhouette_pooled", f"""
+SELECT kind, {r("silhouette")} FROM ({POOLED.format(labelled=BEFORE_NOON)})""", "vectors", "features")
+
 HHMM = "lpad(CAST(bucket // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(bucket % 60 AS VARCHAR), 2, '0')"
 TIMING = f"""
 SELECT entity_id, entity_id || '_peak_timing_' || lpad(CAST(number AS VARCHAR), 3, '0') AS pattern_id,

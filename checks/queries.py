@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from checks import tables as t
 from meterweave.operators import (
-    calendar, changepoint, clusters, coincidence, demand, events, features, gaps, groups, patterns, profiles, quality,
+    calendar, changepoint, clusters, coincidence, demand, events, features, gaps, groups, patterns, pooled, profiles, quality,
     resolution, shapes, summary, validation, weather,
 )
 from meterweave.sources import readings as sources, sinks
@@ -302,6 +302,12 @@ def daily_temperature(spark, sf_dir):
     return features.daily_temperature(t.observations(spark, sf_dir))
 
 
+@query
+def entity_temperature(spark, sf_dir):
+    """Groups and the portfolio by their representative meter, meters by themselves."""
+    return features.entity_temperature(t.observations(spark, sf_dir), t.members(spark, sf_dir))
+
+
 @query
 def temperature_bands(spark, sf_dir):
     return features.temperature_bands(
@@ -371,6 +377,14 @@ def class_percentile(spark, sf_dir):
     )
 
 
+@query
+def class_percentile_coarse(spark, sf_dir):
+    """The same from a sketch of 50 marks, which narrows the search little."""
+    return demand.class_percentile(t.load(spark, sf_dir), PERCENTILES, accuracy=50).select(
+        "entity_id", "timestamp", "top_pct_99", "top_pct_95"
+    )
+
+
 @query
 def class_rank(spark, sf_dir):
     return demand.class_rank(t.load(spark, sf_dir), TOPS).select(
@@ -466,6 +480,35 @@ def cluster_auto_k_apart_blocks(spark, sf_dir):
     return clusters.cluster_choice(clusters.cluster_days(_days_apart(spark, sf_dir), block_days=5))
 
 
+def _days_far_apart(spark, sf_dir):
+    """Days of both kinds, every second one of a series four times the largest value of its kind above the others."""
+    days = _vectors(spark, sf_dir)
+    largest = days.groupBy("kind").agg(F.max(F.array_max("vector")).alias("largest"))
+    order = Window.partitionBy("entity_id", "kind").orderBy("date")
+    raised = days.withColumn("raised", (F.row_number().over(order) + 1) % 2).join(largest, "kind")
+    moved = F.transform("vector", lambda v: v + 4.0 * F.col("largest") * F.col("raised"))
+    return raised.withColumn("vector", moved).drop("raised", "largest")
+
+
+@query
+def cluster_days_pooled(spark, sf_dir):
+    return pooled.cluster_days_pooled(_days_far_apart(spark, sf_dir), n_clusters=2).drop("vector")
+
+
+@query
+def cluster_auto_k_pooled(spark, sf_dir):
+    return pooled.pooled_choice(pooled.cluster_days_pooled(_days_far_apart(spark, sf_dir), max_k=4))
+
+
+@query
+def silhouette_pooled(spark, sf_dir):
+    """For the days as they are, of all series together: those that peak before noon and the others."""
+    labels = t.features(spark, sf_dir).select(
+        "entity_id", "date", F.when(F.col("peak_minute") < 720, 0).otherwise(1).alias("cluster_id")
+    )
+    return pooled.pooled_silhouette(_vectors(spark, sf_dir).join(labels, ["entity_id", "date"]))
+
+
 @query
 def silhouette_given_labels(spark, sf_dir):
     """For days that peak before noon and the others."""

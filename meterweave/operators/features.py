@@ -49,6 +49,25 @@ def daily_temperature(observations: DataFrame, key: str = "meter_id") -> DataFra
     return days.join(measured, key, "left_semi").withColumnRenamed(key, "entity_id")
 
 
+def representative_meters(observations: DataFrame, members: DataFrame) -> DataFrame:
+    """(entity_id, meter_id): the member with the most temperatures, the first by id of several.
+
+    Temperature belongs to the site and is not summed, so an entity takes it from
+    one member. An entity whose members have none is left out. Counts are formed
+    per meter first; only they meet the members.
+    """
+    covered = observations.groupBy("meter_id").agg(F.count("temperature_f").alias("known")).where("known > 0")
+    pairs = members.select("entity_id", "meter_id").distinct()
+    best = F.struct(-F.col("known"), "meter_id")
+    return pairs.join(covered, "meter_id").groupBy("entity_id").agg(F.min_by("meter_id", best).alias("meter_id"))
+
+
+def entity_temperature(observations: DataFrame, members: DataFrame) -> DataFrame:
+    """As daily_temperature, for every entity: meters, groups and the portfolio, each by its representative meter."""
+    days = daily_temperature(observations).withColumnRenamed("entity_id", "meter_id")
+    return representative_meters(observations, members).join(days, "meter_id").drop("meter_id")
+
+
 def temperature_band(temperature: Column, bands: Sequence[float]) -> Column:
     """Label of the right-closed band; NULL stays NULL."""
     edges = sorted(bands)

@@ -1,4 +1,4 @@
-"""The whole run on three made-up meters: 21 days of quarter hours with gaps and a duplicate."""
+"""The whole run on a small harbour: four meters at half hours over sixteen winter days, with losses and repeated rows."""
 
 from datetime import datetime, timedelta
 
@@ -8,66 +8,78 @@ import pytest
 from meterweave.plans import analysis
 from meterweave.sources import sinks
 
-START = datetime(2025, 6, 1, 0, 15)
-METERS = ("B001", "B002", "B003")
+FIRST = datetime(2024, 2, 5, 0, 30)
+STAMPS = [FIRST + timedelta(minutes=30 * i) for i in range(16 * 48)]
+METERS = ("mill", "pier", "vault", "yard")
+#: First and last lost stamp, by meter.
+LOST = {
+    "yard": (datetime(2024, 2, 9, 3), datetime(2024, 2, 9, 5)),
+    "pier": (datetime(2024, 2, 13, 20), datetime(2024, 2, 14, 7, 30)),
+}
+DOOR_OPEN = datetime(2024, 2, 16).date()
+
+
+def sky(at):
+    return 38 + 7 * np.cos((at.hour - 14) / 12 * np.pi) - (at.day % 5)
+
+
+def demand(meter, at, rng):
+    hour = at.hour + at.minute / 60
+    noise = rng.uniform(-2, 2)
+    if meter == "mill":  # two shifts on working days, started up at seven
+        return 30 + noise + (at.weekday() < 5) * (220 * (6 <= hour < 22) + 90 * (hour == 7))
+    if meter == "pier":  # cranes follow the tide, fifty minutes later every day
+        tide = (hour - (at.date() - FIRST.date()).days * 5 / 6) % 12
+        return 15 + noise + 130 * (tide < 2.5)
+    if meter == "yard":  # lights and heating at night
+        return 25 + noise + 60 * (hour < 6 or hour >= 18) + 1.5 * max(45 - sky(at), 0)
+    return 110 + noise + 150 * (at.date() == DOOR_OPEN)
 
 
 def raw_rows():
-    rng = np.random.default_rng(42)
+    rng = np.random.default_rng(7)
     rows = []
-    for n, meter in enumerate(METERS):
-        for i in range(21 * 96):
-            at = START + timedelta(minutes=15 * i)
-            hour, weekday = at.hour + at.minute / 60, at.weekday() < 5
-            warm = 70 + 10 * np.sin((hour - 9) / 24 * 2 * np.pi) + i / 400
-            kw = 60 + 20 * n + max(warm - 68, 0) * 2 + rng.normal(0, 3)
-            if weekday and n < 2:
-                kw += 400 * np.exp(-(((hour - (17, 13)[n]) / 1.5) ** 2))
-            if n == 2 and (hour < 5):
-                kw += 200
-            if meter == "B002" and at.day == 11:
-                kw += 400
-            outage = meter == "B001" and datetime(2025, 6, 6, 13) <= at < datetime(2025, 6, 7, 0)
-            short = meter == "B001" and datetime(2025, 6, 4, 10) <= at < datetime(2025, 6, 4, 10, 45)
-            if not outage and not short:
-                rows.append((at.strftime("%Y-%m-%d %H:%M:%S"), meter, f"{kw:.2f}", len(rows)))
-    return rows + [(*rows[-50][:3], len(rows))]
+    for meter in METERS:
+        low, high = LOST.get(meter, (datetime.max, datetime.min))
+        rows += [(at.strftime("%d.%m.%Y %H:%M"), meter, f"{demand(meter, at, rng):.3f}") for at in STAMPS if not low <= at <= high]
+    again = [r for r in rows if r[1] == "pier"][100:103]
+    return [(*r, i) for i, r in enumerate(rows + again)]
 
 
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
-    raw = spark.createDataFrame(raw_rows(), "at string, id string, kw string, line int")
-    sky = spark.createDataFrame(
-        [(START + timedelta(minutes=30 * i), 70 + 10 * float(np.sin((i / 2 - 9) / 24 * 2 * np.pi)) + i / 200) for i in range(21 * 48)],
-        "timestamp timestamp_ntz, temperature_f double",
-    )
-
     def pairs(rows, names):
         return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
 
+    raw = spark.createDataFrame(raw_rows(), "read string, meter string, load string, position int")
+    hours = [datetime(2024, 2, 5) + timedelta(hours=i) for i in range(16 * 24 + 1)]
+    weather = spark.createDataFrame([(at, float(sky(at))) for at in hours], "timestamp timestamp_ntz, temperature_f double")
     sites = analysis.Sites(
         pairs([(m,) for m in METERS], ("meter_id",)),
-        pairs([("Administration", "B001"), ("Academic", "B002"), ("Overnight", "B003")], ("group_name", "meter_id")),
-        pairs([("Campus_A", "Administration"), ("Campus_A", "Academic")], ("parent", "child")),
-        spark.createDataFrame([], "meter_id string"),
+        pairs([("Docks", "pier"), ("Docks", "yard"), ("Works", "mill")], ("group_name", "meter_id")),
+        pairs([("Harbour", "Docks"), ("Harbour", "Works")], ("parent", "child")),
+        pairs([("vault",)], ("meter_id",)),
     )
     settings = analysis.Settings(
-        {"timestamp": "at", "meter_id": "id", "demand_kw": "kw"}, "yyyy-MM-dd HH:mm:ss", ordinal="line",
-        weather_tolerance_minutes=30, holidays=("2025-06-19",), thresholds_kw=(400.0, 750.0),
+        {"timestamp": "read", "meter_id": "meter", "demand_kw": "load"}, "dd.MM.yyyy HH:mm", ordinal="position",
+        weather_tolerance_minutes=30, holidays=("2024-02-19",), thresholds_kw=(120.0, 260.0),
     )
     stage = analysis.written(str(tmp_path_factory.mktemp("stages")))
-    observations, minutes, findings = analysis.prepare(raw, settings, sky, stage)
+    observations, minutes, findings = analysis.prepare(raw, settings, weather, stage)
     return observations, minutes, findings, analysis.analyze(observations, minutes, sites, settings, stage)
 
 
 def test_observations(run):
     observations, minutes, findings, _ = run
-    assert minutes == 15
-    assert [(r.severity, r.n) for r in findings.collect()] == [("ERROR", 1)]
+    assert minutes == 30
+    assert [(r.severity, r.n) for r in findings.collect()] == [("ERROR", 3)]
     pdf = observations.toPandas()
-    assert len(pdf) == 3 * 21 * 96
-    b1 = pdf[pdf.meter_id == "B001"]
-    assert (b1.data_quality_flag.value_counts()[["interpolated", "missing"]] == [3 + 4, 44 - 4]).all()
+    assert len(pdf) == len(METERS) * len(STAMPS)
+    # Four rows of each loss are filled: of five in the yard, of twenty-four at the pier.
+    flags = pdf.groupby(["meter_id", "data_quality_flag"]).size()
+    assert (flags["yard", "interpolated"], flags["yard", "missing"]) == (4, 1)
+    assert (flags["pier", "interpolated"], flags["pier", "missing"]) == (4, 20)
+    assert flags["mill", "observed"] == flags["vault", "observed"] == len(STAMPS)
     assert pdf[pdf.is_observed].observed_demand_kw.equals(pdf[pdf.is_observed].analysis_demand_kw)
     assert pdf[pdf.data_quality_flag != "missing"].temperature_f.notna().all()
 
@@ -75,39 +87,44 @@ def test_observations(run):
 def test_roll_up_and_days(run):
     tables = run[3]
     load = tables["entity_load"].toPandas().pivot(index="timestamp", columns="entity_id", values="demand_kw")
-    np.testing.assert_allclose(load["Portfolio"], load[list(METERS)].sum(axis=1))
-    np.testing.assert_allclose(load["Campus_A"], load[["B001", "B002"]].sum(axis=1))
+    np.testing.assert_allclose(load["Docks"], load[["pier", "yard"]].sum(axis=1))
+    np.testing.assert_allclose(load["Portfolio"], load[["mill", "pier", "yard"]].sum(axis=1))
+    np.testing.assert_allclose(load["Harbour"], load["Portfolio"])
     days = tables["daily_features"].toPandas()
-    assert set(days.groupby("entity_id").size()) == {22}  # 21 days and the stamp of the last midnight
+    assert set(days.groupby("entity_id").size()) == {17}  # the last stamp is a midnight
     assert ((days.load_factor > 0) & (days.load_factor <= 1 + 1e-12)).all()
-    first, outage, last = (days[(days.entity_id == "B001") & (days.date.astype(str) == d)].iloc[0] for d in ("2025-06-01", "2025-06-06", "2025-06-22"))
-    assert not first.is_complete_day and not outage.is_complete_day
-    assert outage.daily_energy_kwh / outage.mean_demand_kw * 4 == pytest.approx(52 + 4)
-    assert last.load_factor == 1.0 and np.isnan(last.standard_deviation_kw)
-    covered = tables["day_coverage"].where("entity_id = 'Campus_A' and date = '2025-06-06'").first()
-    assert not covered.is_fully_covered
+    pier = days[days.entity_id == "pier"].set_index(days[days.entity_id == "pier"].date.astype(str))
+    assert list(pier.index[~pier.is_complete_day.astype(bool)]) == ["2024-02-05", "2024-02-13", "2024-02-14", "2024-02-21"]
+    # Forty observed and four filled half hours before the loss.
+    assert pier.loc["2024-02-13"].daily_energy_kwh / pier.loc["2024-02-13"].mean_demand_kw * 2 == pytest.approx(44)
+    assert pier.loc["2024-02-21"].load_factor == 1.0 and np.isnan(pier.loc["2024-02-21"].standard_deviation_kw)
+    covered = {str(r.date): r.is_fully_covered for r in tables["day_coverage"].where("entity_id = 'Docks'").collect()}
+    assert not covered["2024-02-09"] and not covered["2024-02-14"] and covered["2024-02-10"]
 
 
-def test_findings_on_the_made_up_data(run):
+def test_what_the_days_are_like(run):
     tables = run[3]
-    outliers = tables["outlier_days"].where("entity_id = 'B002'").toPandas()
-    assert list(outliers.date.astype(str)) == ["2025-06-11"] * len(outliers) and len(outliers) >= 1
-    timing = tables["timing_patterns"].where("entity_id = 'B001'").toPandas()
-    assert "17:00" in set(timing.representative_peak_time) | {"16:30"} and timing.frequency.max() >= 5
+    outliers = tables["outlier_days"].where("entity_id = 'vault'").toPandas()
+    assert set(outliers.date) == {DOOR_OPEN}
+    timing = tables["timing_patterns"].where("entity_id = 'mill'").toPandas()
+    assert dict(zip(timing.representative_peak_time, timing.frequency, strict=True))["07:00"] == 11
+    sizes = tables["clusters"].where("entity_id = 'mill' and kind = 'absolute'").toPandas().cluster_size
+    assert sorted(sizes) == [4, 11]
     choice = {r.entity_id: r.n_clusters for r in tables["cluster_choice"].where("kind = 'absolute'").collect()}
-    assert choice["B001"] == 2
-    sizes = tables["clusters"].where("entity_id = 'B001' and kind = 'absolute'").toPandas().cluster_size
-    assert sorted(sizes) == [5, 14]
-    share = tables["peak_contribution"].toPandas().groupby(["entity_id", "timestamp"]).pct_contribution.sum()
-    np.testing.assert_allclose(share, 100)
-    factor = tables["diversity_factor"].toPandas()
-    assert (factor.diversity_factor >= 1 - 1e-12).all()
-    rate = tables["interval_coincidence"].toPandas().coincidence_rate.dropna()
-    assert rate.between(0, 1).all()
+    assert choice["mill"] == 2
     best = tables["change_points"].where("is_selected").toPandas()
     assert set(best.meter_id) == set(METERS)
 
 
+def test_how_meters_coincide(run):
+    tables = run[3]
+    share = tables["peak_contribution"].toPandas().groupby(["entity_id", "timestamp"]).pct_contribution.sum()
+    np.testing.assert_allclose(share, 100)
+    factor = tables["diversity_factor"].toPandas().set_index("entity_id").diversity_factor
+    assert (factor >= 1 - 1e-12).all() and factor["Works"] == pytest.approx(1)
+    assert tables["interval_coincidence"].toPandas().coincidence_rate.dropna().between(0, 1).all()
+
+
 def test_all_tables_can_be_written(run, tmp_path):
     tables = {k: v for k, v in run[3].items() if k in ("quality_summary", "peak_events", "clusters", "timing_patterns", "stage_summary", "demand_classes", "ramps")}
     for path in sinks.write_outputs(tables, str(tmp_path), "csv", per_entity=True).values():

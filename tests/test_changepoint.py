@@ -32,7 +32,7 @@ def known(spark):
     rng = np.random.default_rng(839)
     t = rng.uniform(-22, 17, 45)
     made["noise"] = (t, rng.normal(33, 8, 45))
-    made["few"] = ([70, 75, 80], [1, 2, 3])
+    made["few"] = ([41, 58, 66], [9, 4, 5])
     made["broken"] = ([70.0, np.nan, np.inf, 71.0], [1.0, 2.0, 3.0, np.nan])
     made["narrow"] = (70 + np.linspace(0.1, 0.9, 12), np.arange(12.0))
     return made

@@ -15,15 +15,23 @@ def load(spark, values, **options):
 
 
 def test_threshold_classes(spark):
-    rows = demand.class_threshold(load(spark, [100.0, 600.0, 200.0, 800.0, None]), [500.0])
-    assert column(rows, "meets_threshold_500") == [False, True, False, True, False]
+    rows = demand.class_threshold(load(spark, [31.0, None, 75.0, 74.9, 120.0]), [75.0])
+    assert column(rows, "meets_threshold_75") == [False, False, True, False, True]
     with pytest.raises(ValueError, match="collide"):
         demand.class_threshold(rows, [500.0, 500.5])
 
 
 def test_percentile_classes(spark):
-    rows = demand.class_percentile(load(spark, [float(v) for v in range(100)] + [None]), [0.95])
-    assert sum(column(rows, "top_pct_95")) == 5
+    rows = demand.class_percentile(load(spark, [float(v * 7 % 41) for v in range(41)] + [None]), [0.9])
+    assert sum(column(rows, "top_pct_90")) == 5
+
+
+def test_percentiles_of_few_rows_beside_the_accuracy_of_the_sketch(spark):
+    values = {n: [float(v * 13 % 127) for v in range(n)] for n in (1, 2, 3, 7, 59, 60, 61, 120)}
+    rows = spark.createDataFrame([(k, x) for k, v in values.items() for x in v], "k int, v double").withColumn("date", F.current_date())
+    ps = [0.0, 0.25, 0.8, 0.99, 1.0]
+    for r in exact_percentiles(rows, "k", "v", ps, 60).collect():
+        assert r.cutoffs == pytest.approx(list(np.quantile(values[r.k], ps)), rel=1e-12)
 
 
 @pytest.mark.parametrize("accuracy", [20, 200, 10_000])
@@ -45,16 +53,16 @@ def test_rank_classes(spark):
 
 
 def test_ramps(spark):
-    rows = demand.ramps(load(spark, [100.0, 150.0, 120.0, None, 1.0]))
-    assert column(rows, "ramp_kw") == [None, 50.0, -30.0, None, None]
-    assert column(rows, "ramp_up_kw") == [None, 50.0, 0.0, None, None]
-    assert column(rows, "ramp_down_kw") == [None, 0.0, 30.0, None, None]
+    rows = demand.ramps(load(spark, [7.0, 7.0, 2.5, 11.0, None, 4.0]))
+    assert column(rows, "ramp_kw") == [None, 0.0, -4.5, 8.5, None, None]
+    assert column(rows, "ramp_up_kw") == [None, 0.0, 0.0, 8.5, None, None]
+    assert column(rows, "ramp_down_kw") == [None, 0.0, 4.5, 0.0, None, None]
 
 
 def test_extrema(spark):
-    rows = demand.local_extrema(load(spark, [1.0, 3.0, 1.0, 0.0, 2.0]))
-    assert column(rows, "is_peak") == [False, True, False, False, False]
-    assert column(rows, "is_valley") == [False, False, False, True, False]
+    rows = demand.local_extrema(load(spark, [8.0, 5.0, 9.0, 9.0, 4.0, 6.0, 3.0]))
+    assert column(rows, "is_peak") == [False, False, False, False, False, True, False]
+    assert column(rows, "is_valley") == [False, True, False, False, True, False, False]
 
 
 def test_extrema_and_ramps_run_across_midnight(spark):
@@ -76,13 +84,13 @@ def found(spark, values, gap=1, **options):
 
 
 def test_events(spark):
-    got = found(spark, [100.0, 600, 600, 100, 100, 600, 100, 100, 100, 700], minutes=15)
-    assert [(r.event_id, r.n_intervals, r.duration_hours) for r in got] == [
-        ("X_t_0000", 2, 0.25), ("X_t_0001", 1, 0.0), ("X_t_0002", 1, 0.0),
+    got = found(spark, [520.0, 510, 505, 20, 30, 40, 900, 10, 501, 0, 0], minutes=30)
+    assert [(r.event_id, r.n_intervals, r.duration_hours, r.minimum_demand_kw) for r in got] == [
+        ("X_t_0000", 3, 1.0, 505.0), ("X_t_0001", 3, 1.0, 10.0),
     ]
-    merged = found(spark, [600.0, 100, 600, 100, 100, 100])
-    assert [(r.n_intervals, r.minimum_demand_kw) for r in merged] == [(3, 100.0)]
-    assert found(spark, [1.0, 2, 3]) == []
+    apart = found(spark, [520.0, 510, 505, 20, 30, 40, 900, 10, 501, 0, 0], gap=0)
+    assert [(r.n_intervals, r.duration_hours) for r in apart] == [(3, 2.0), (1, 0.0), (1, 0.0)]
+    assert found(spark, [499.9, None, 12.0]) == []
 
 
 @pytest.mark.parametrize("gap, share", [(0, 0.5), (1, 0.3), (3, 0.1), (30, 0.04), (2, 1.0)])
@@ -108,8 +116,8 @@ def test_events_against_a_walk_over_days(spark, gap, share):
 
 
 def test_duration_class(spark):
-    rows = spark.createDataFrame([(0.5,), (5.0,)], "duration_hours double")
-    assert [r.duration_class for r in events.event_duration_class(rows, 2.0).collect()] == ["short", "sustained"]
+    rows = spark.createDataFrame([(0.0,), (2.75,), (3.0,), (40.0,)], "duration_hours double")
+    assert [r.duration_class for r in events.event_duration_class(rows, 3.0).collect()] == ["short", "short", "sustained", "sustained"]
 
 
 def test_profiles_and_features(spark):
@@ -132,9 +140,9 @@ def test_segments_and_bands(spark):
     seg = features.segment_features(daily).first()
     assert (seg.morning_peak_kw, seg.midday_peak_kw, seg.afternoon_peak_kw, seg.evening_peak_kw) == (9, 13, 17, 21)
     assert seg.overnight_mean_kw == seg.nighttime_mean_kw == pytest.approx((sum(range(6)) + 22 + 23) / 8)
-    temps = spark.createDataFrame([(20.0,), (60.0,), (95.0,), (None,), (32.0,), (32.1,)], "temperature_f double")
-    bands = [r.temperature_band for r in features.temperature_bands(temps, [32, 50, 65, 80, 90]).collect()]
-    assert bands == ["below-32", "50-65", "90-above", None, "below-32", "32-50"]
+    temps = spark.createDataFrame([(-4.0,), (71.5,), (70.0,), (None,), (40.0,), (88.0,)], "temperature_f double")
+    bands = [r.temperature_band for r in features.temperature_bands(temps, [40, 55, 70]).collect()]
+    assert bands == ["below-40", "70-above", "55-70", None, "below-40", "70-above"]
 
 
 def test_daily_temperature_and_weekday_means(spark):
@@ -153,7 +161,7 @@ def shaped(spark, values, extrema=True):
 
 
 def test_shapes(spark):
-    gone = shaped(spark, [100.0, None, None])
+    gone = shaped(spark, [None, 8.0, None, None])
     assert gone.primary_shape == "insufficient_data" and gone.is_unusual
     flat = shaped(spark, [10.0] * 24)
     assert flat.primary_shape == "flat" and flat.is_flat and flat.has_sustained_high_load
