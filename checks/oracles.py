@@ -323,6 +323,20 @@ SELECT timestamp, {r("CASE WHEN temperature_f <= 70 THEN temperature_f END", "te
 FROM weather WHERE hour(timestamp) <> 3""", "weather")
 oracle("write_outputs", f"SELECT entity_id, date, {r('daily_energy_kwh')}, is_complete_day FROM features", "features")
 
+for kind in ("csv", "per_entity"):
+    oracle(f"write_outputs_{kind}", f"SELECT entity_id, date, {r('daily_energy_kwh')}, is_complete_day FROM features", "features")
+oracle("timestamp_patterns", """
+SELECT file, pattern, n_given, n_given AS n_parsed, CASE WHEN file = 'error' THEN 'd/M/yyyy H:mm[:ss]' ELSE '' END AS ambiguous_with
+FROM (SELECT event_type AS file,
+             count(CASE WHEN event_type <> 'error' OR day(date_trunc('hour', ts) + INTERVAL 1 HOUR) <= 12 THEN 1 END) AS n_given
+      FROM events GROUP BY 1)
+JOIN (VALUES ('click', 'yyyy-MM-dd HH:mm:ss'), ('view', 'M/d/yyyy H:mm[:ss]'), ('error', 'M/d/yyyy H:mm[:ss]'),
+             ('purchase', 'd/M/yyyy H:mm[:ss]'), ('signup', 'd.M.yyyy H:mm[:ss]')) ways(file, pattern) USING (file)""")
+oracle("canonicalize_auto", f"""
+SELECT CASE WHEN event_type <> 'error' OR day(hour_end) <= 12 THEN hour_end END AS timestamp, 'm' || user_id AS meter_id,
+       {r('value', 'demand_kw')}, event_id AS line, event_type AS channel
+FROM (SELECT *, date_trunc('hour', ts) + INTERVAL 1 HOUR AS hour_end FROM events)""")
+
 FINDINGS = """
 SELECT severity, n || ' ' || message AS message, 'ingestion' AS section, n FROM (
   SELECT 'ERROR' AS severity, 'timestamp value(s) failed to parse' AS message, count_if(timestamp IS NULL) AS n FROM canonical

@@ -69,6 +69,32 @@ def canonicalize(spark, sf_dir):
     return sources.canonicalize(t.raw_texts(spark, sf_dir), t.MAPPING, "yyyy-MM-dd HH:mm:ss")
 
 
+#: Source files by channel, each with its own way to write times.
+WAYS = {"click": "yyyy-MM-dd HH:mm:ss", "view": "M/d/yyyy H:mm", "purchase": "d/M/yyyy H:mm", "signup": "d.M.yyyy H:mm"}
+
+
+def _many_ways(spark, sf_dir):
+    """Raw readings; errors have month-first times of the first twelve days only, which days-first reads as well."""
+    at = t.interval_end(60)
+    texts = F.coalesce(*[F.when(F.col("event_type") == c, F.date_format(at, p)) for c, p in WAYS.items()])
+    early = F.when(F.day(at) <= 12, F.date_format(at, "M/d/yyyy H:mm"))
+    return t.table(spark, sf_dir, "events").select(
+        F.coalesce(texts, F.when(F.col("event_type") == "error", early)).alias("timestamp"), t.meter_name("user_id").alias("meter_id"),
+        F.col("value").cast("string").alias("demand_kw"), F.col("event_id").alias("line"), F.col("event_type").alias("channel"),
+    )
+
+
+@query
+def timestamp_patterns(spark, sf_dir):
+    found = sources.timestamp_patterns(_many_ways(spark, sf_dir), F.col("channel"))
+    return found.withColumn("ambiguous_with", F.array_join("ambiguous_with", "; "))
+
+
+@query
+def canonicalize_auto(spark, sf_dir):
+    return sources.canonicalize(_many_ways(spark, sf_dir), pattern="auto", file=F.col("channel"))
+
+
 @query
 def read_weather(spark, sf_dir):
     # Source names and text values, as a weather station's file has them.
@@ -87,6 +113,28 @@ def write_outputs(spark, sf_dir):
     return written.select("entity_id", "date", "daily_energy_kwh", "is_complete_day")
 
 
+def _features_csv(spark, sf_dir, per_entity):
+    """Daily features written as CSV, those of some entities once more, and read back."""
+    folder = f"{checkpoint_dir(spark)}/csv-{per_entity}-{sf_dir.strip('/').split('/')[-1]}"
+    table = t.features(spark, sf_dir).select("entity_id", "date", "daily_energy_kwh", "is_complete_day")
+    paths = sinks.write_outputs({"daily_features": table}, folder, "csv", per_entity)
+    if per_entity:
+        sinks.write_outputs({"daily_features": table.where("entity_id like 'm1%'")}, folder, "csv", per_entity)
+    columns = "date date, daily_energy_kwh double, is_complete_day boolean"
+    columns = f"{columns}, entity_id string" if per_entity else f"entity_id string, {columns}"
+    return spark.read.schema(columns).option("header", True).csv(paths["daily_features"])
+
+
+@query
+def write_outputs_csv(spark, sf_dir):
+    return _features_csv(spark, sf_dir, False)
+
+
+@query
+def write_outputs_per_entity(spark, sf_dir):
+    return _features_csv(spark, sf_dir, True)
+
+
 # Validation, duplicates, resolution, calendar
 
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from meterweave import schema
 
 FORMATS = ("csv", "parquet")
+#: Patterns that time texts are tried with, the likelier first.
+PATTERNS = [
+    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "M/d/yyyy H:mm[:ss]", "d/M/yyyy H:mm[:ss]",
+    "M/d/yy H:mm", "d/M/yy H:mm", "d.M.yyyy H:mm[:ss]", "yyyy/M/d H:mm[:ss]", "yyyyMMddHHmm",
+]
 
 
 def read_readings(
@@ -61,11 +68,67 @@ def as_timestamp(c: str, dtype: T.DataType, pattern: str | list[str] | None = No
     return F.col(c).try_cast("timestamp_ntz")
 
 
+def _parsed(c: Column, pattern: str) -> Column:
+    return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+
+
+def timestamp_patterns(rows: DataFrame, file: Column | None = None, patterns: Sequence[str] = PATTERNS) -> DataFrame:
+    """(file, pattern, n_given, n_parsed, ambiguous_with): how each file writes its time texts.
+
+    The pattern that reads most texts of a file wins, the earlier in the list on a
+    tie. ambiguous_with has the others that read as many, but as other times.
+    pattern is NULL where none reads any. All counts come from one aggregate over
+    the rows; file is any column that tells sources apart, by default all rows
+    are of one.
+    """
+    text = F.col("timestamp").cast("string")
+    tried = rows.select((F.lit("") if file is None else file).alias("file"), text.alias("text"))
+    # The sum of a reading's seconds tells it from another one with as many.
+    votes = F.array(
+        *[
+            F.struct(F.count(_parsed(F.col("text"), p)).alias("n"), F.sum(F.unix_seconds(_parsed(F.col("text"), p).cast("timestamp"))).alias("at"))
+            for p in patterns
+        ]
+    )
+    counted = tried.groupBy("file").agg(F.count("text").alias("n_given"), votes.alias("votes"))
+    most = F.array_max(F.transform("votes", lambda v: v["n"]))
+    names = F.array(*[F.lit(p) for p in patterns])
+    winner = counted.withColumn("n_parsed", most).withColumn("i", F.array_position(F.transform("votes", lambda v: v["n"]), F.col("n_parsed")).cast("int"))
+    rivals = F.filter(names, lambda name, i: (F.get("votes", i)["n"] == F.col("n_parsed")) & (F.get("votes", i)["at"] != F.get("votes", F.col("i") - 1)["at"]))
+    read = F.col("n_parsed") > 0
+    return winner.select(
+        "file", F.when(read, F.get(names, F.col("i") - 1)).alias("pattern"), "n_given", "n_parsed",
+        F.when(read, rivals).otherwise(F.array().cast("array<string>")).alias("ambiguous_with"),
+    )
+
+
+def ambiguous_findings(found: DataFrame) -> DataFrame:
+    """Findings (severity, message, section, n) on files whose times can be read in several ways; n is their texts."""
+    message = F.format_string("timestamps of '%s' read as %s could also be %s", "file", "pattern", F.array_join("ambiguous_with", ", "))
+    return found.where(F.size("ambiguous_with") > 0).select(
+        F.lit(schema.WARNING).alias("severity"), message.alias("message"), F.lit("ingestion").alias("section"), F.col("n_parsed").alias("n")
+    )
+
+
+def with_found_timestamps(rows: DataFrame, file: Column | None = None, patterns: Sequence[str] = PATTERNS) -> DataFrame:
+    """Time texts read by the pattern found for their file; a handful of rows per file is joined to all."""
+    named = rows.withColumn("_file", F.lit("") if file is None else file)
+    found = timestamp_patterns(named, F.col("_file"), patterns).select(F.col("file").alias("_file"), F.col("pattern").alias("_pattern"))
+    joined = named.join(found, named["_file"].eqNullSafe(found["_file"]), "left").drop(found["_file"])
+    stamp = F.coalesce(*[F.when(F.col("_pattern") == p, _parsed(F.col("timestamp").cast("string"), p)) for p in patterns])
+    return joined.withColumn("timestamp", stamp).select(*rows.columns)
+
+
 def canonicalize(
-    raw: DataFrame, mapping: dict[str, str] | None = None, pattern: str | None = None
+    raw: DataFrame, mapping: dict[str, str] | None = None, pattern: str | list[str] | None = None, file: Column | None = None
 ) -> DataFrame:
-    """Canonical names and types: naive timestamp, text meter id, double demand and temperature."""
+    """Canonical names and types: naive timestamp, text meter id, double demand and temperature.
+
+    The pattern "auto" is found from the data, for each value of file by itself.
+    """
     rows = map_columns(raw, mapping or {})
+    if pattern == "auto":
+        rows, pattern = with_found_timestamps(rows, file) if isinstance(rows.schema["timestamp"].dataType, T.StringType) else rows, None
     types = {f.name: f.dataType for f in rows.schema}
     typed = {
         "timestamp": as_timestamp("timestamp", types["timestamp"], pattern),

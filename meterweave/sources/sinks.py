@@ -21,10 +21,14 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> None:
 def write_per_entity(df: DataFrame, path: str, file_format: str = "csv", key: str = "entity_id") -> None:
     """One folder per entity, for consumers that open an entity's files by name.
 
-    Folders are as many as entities; for many meters write_table is the better layout.
+    Only the folders of entities in df are replaced, all at once when the write
+    ends: a run for some entities, or a repeated one, leaves the others as they
+    are. Folders are as many as entities; for many meters write_table is the
+    better layout.
     """
     rows = df.repartition(partitions(df.sparkSession), key)
-    _save(rows.write.mode("overwrite").partitionBy(key), path, file_format)
+    replaced = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    _save(replaced.partitionBy(key), path, file_format)
 
 
 def _save(writer, path: str, file_format: str) -> None:

@@ -2,6 +2,7 @@ import math
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from meterweave.operators import validation
 from meterweave.sources import readings as sources, sinks
@@ -103,3 +104,35 @@ def test_type_letters_are_no_numbers_and_patterns_are_tried_in_order(spark):
     rows = spark.createDataFrame([("m", 1, 5.0, None, 1), ("m", 1, 7.0, 60.0, 1), ("m", 1, 1.0, 50.0, None)], "meter_id string, t int, demand_kw double, temperature_f double, n int")
     kept = dedupe_readings(rows.withColumn("timestamp", F.lit("2025-06-01").cast("timestamp_ntz")).drop("t"), "n").first()
     assert (kept["demand_kw"], kept["temperature_f"]) == (5.0, None)
+
+
+def test_the_pattern_of_each_file_is_found(spark):
+    written = [("a", "6/1/2025 0:15"), ("a", "6/13/2025 0:30"), ("a", None), ("b", "1.6.2025 0:15"), ("b", "garbled"), ("c", "3/4/2025 1:00"), ("d", None), ("e", "5/5/2025 1:00")]
+    raw = spark.createDataFrame([(f, t, "m", "1") for f, t in written], "path string, timestamp string, meter_id string, demand_kw string")
+    found = {r.file: r for r in sources.timestamp_patterns(raw, F.col("path")).collect()}
+    assert {f: (r.pattern, r.n_given, r.n_parsed) for f, r in found.items()} == {
+        "a": ("M/d/yyyy H:mm[:ss]", 2, 2), "b": ("d.M.yyyy H:mm[:ss]", 2, 1), "c": ("M/d/yyyy H:mm[:ss]", 1, 1),
+        "d": (None, 0, 0), "e": ("M/d/yyyy H:mm[:ss]", 1, 1),
+    }
+    # The fifth of May is the same either way; the third of April is not.
+    assert {f for f, r in found.items() if r.ambiguous_with} == {"c"} and found["c"].ambiguous_with == ["d/M/yyyy H:mm[:ss]"]
+    findings = sources.ambiguous_findings(sources.timestamp_patterns(raw, F.col("path"))).collect()
+    assert [(r.severity, r.n) for r in findings] == [("WARNING", 1)]
+    rows = sources.canonicalize(raw, pattern="auto", file=F.col("path"))
+    assert rows.columns == raw.columns
+    stamps = sorted(str(r.timestamp) for r in rows.collect())
+    assert stamps == ["2025-03-04 01:00:00", "2025-05-05 01:00:00", "2025-06-01 00:15:00", "2025-06-01 00:15:00", "2025-06-13 00:30:00", "None", "None", "None"]
+    assert sources.canonicalize(raw.where("path = 'b'"), pattern="auto").where("timestamp is not null").count() == 1
+    assert sources.timestamp_patterns(raw.limit(0)).isEmpty()
+
+
+def test_a_run_for_some_entities_leaves_the_others(spark, tmp_path):
+    table = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "entity_id string, v int")
+    path = sinks.write_outputs({"t": table}, str(tmp_path), "csv", per_entity=True)["t"]
+    kept = sorted((tmp_path / "t" / "entity_id=a").glob("*.csv"))
+    changed = spark.createDataFrame([("b", 4), ("c", 5)], "entity_id string, v int")
+    for _ in range(2):
+        sinks.write_outputs({"t": changed}, str(tmp_path), "csv", per_entity=True)
+        got = sorted((r.entity_id, r.v) for r in spark.read.schema("v int, entity_id string").option("header", True).csv(path).collect())
+        assert got == [("a", 1), ("a", 2), ("b", 4), ("c", 5)]
+    assert sorted((tmp_path / "t" / "entity_id=a").glob("*.csv")) == kept
