@@ -25,7 +25,7 @@ def text_lines(text: Column | str) -> Column:
 def line_hashes(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line (index from 0), h1, h2 (128 bits of the key), chars (code points of the key).
 
-    text_hash, with the id, names the row: rows equal in both are one document.
+    text_hash, with the id, names the row: rows equal in both have the same lines.
     """
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(text_lines("text")).alias("line", "__text"))
     key = line_key(F.col("__text"))
@@ -83,10 +83,11 @@ def merged(runs: list[DataFrame]) -> DataFrame:
     return union(runs).groupBy(*KEY).agg(F.first("chars").alias("chars"), F.sum("n_docs").alias("n_docs"))
 
 
-def batch_counts(lines: DataFrame) -> DataFrame:
-    """One row per hash: chars and n_docs, the number of documents with the line."""
-    once = lines.groupBy(*KEY, "doc_id", "text_hash").agg(F.first("chars").alias("chars"))
-    return once.groupBy(*KEY).agg(F.first("chars").alias("chars"), F.count("*").alias("n_docs"))
+def batch_counts(docs: DataFrame) -> DataFrame:
+    """One row per hash: chars and n_docs, the number of rows of docs with the line; a row counts once, whether repeated or not."""
+    keys = docs.select(F.explode(F.array_distinct(F.transform(text_lines("text"), line_key))).alias("key"))
+    hashed = keys.select(F.xxhash64(F.lit(1), "key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2"), F.length("key").alias("chars"))
+    return hashed.groupBy(*KEY).agg(F.first("chars").alias("chars"), F.count("*").alias("n_docs"))
 
 
 def line_runs(docs: DataFrame, batches: int = 4, fanout: int = 4, path: str | None = None) -> LineRuns:
@@ -94,7 +95,7 @@ def line_runs(docs: DataFrame, batches: int = 4, fanout: int = 4, path: str | No
     runs = LineRuns(docs.sparkSession, fanout, path)
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
     for b in range(batches):
-        runs.add(batch_counts(line_hashes(docs.where(part == b))))
+        runs.add(batch_counts(docs.where(part == b)))
     return runs
 
 
@@ -104,12 +105,13 @@ def drop_frequent_lines(docs: DataFrame, runs: LineRuns, min_docs: int = 10, min
     Returns doc_id, n_lines (before), n_dropped and text (other lines, joined by
     line feeds). docs has doc_id and text, other columns are ignored. Keys of
     fewer than min_chars code points always stay. Null and empty text are one
-    empty line. Null ids are ids like any other; rows equal in id and text count
-    as one document and each is returned. Empty tables give no rows.
+    empty line. Every row is a document: null ids are ids like any other, and rows
+    equal in id and text count each and are each returned. Empty tables give no
+    rows.
     """
     frequent = runs.entries().where((F.col("n_docs") >= min_docs) & (F.col("chars") >= min_chars)).select(*KEY)
     dropped = (
-        line_hashes(docs).join(frequent, KEY, "left_semi")
+        line_hashes(docs).where(F.col("chars") >= min_chars).join(frequent, KEY, "left_semi")
         .groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line").alias("__dropped"))
     )
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))

@@ -10,7 +10,7 @@ import pytest
 
 from meterweave.llm import ngrams
 from meterweave.llm.decontamination import clean_documents, find_leaks
-from meterweave.llm.lines import LineRuns, batch_counts, drop_frequent_lines, line_hashes, line_runs
+from meterweave.llm.lines import LineRuns, batch_counts, drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken, mixed_documents
 from meterweave.llm.near import PARITY, first_of_groups, near_duplicates, parities, super_minhash
 from meterweave.llm.neighbours import nearest
@@ -158,13 +158,20 @@ def test_frequent_lines(spark, docs, empty, rows):
     assert frequent == {"same line"}
     assert drop_frequent_lines(empty, line_runs(empty, batches=1)).isEmpty()
     runs = LineRuns(spark, fanout=2)
-    counts = batch_counts(line_hashes(docs))
+    counts = batch_counts(docs)
     for _ in range(3):
         runs.add(counts)
     assert [len(level) for level in runs.levels] == [1, 1]
     assert runs.unseen(counts).isEmpty() and runs.entries().agg({"n_docs": "sum"}).first()[0] == 3 * counts.agg({"n_docs": "sum"}).first()[0]
 
 
+def test_repeated_rows_and_null_ids_count_as_documents(spark):
+    rows = [(1, "again\nown")] * 12 + [(None, "Lost \n\nkept")] * 5 + [(None, " lost")] * 4 + [(7, "LOST\n\n"), (8, "kept\nkept\nkept")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in drop_frequent_lines(docs, line_runs(docs, batches=2, fanout=2)).collect())
+    assert got == {(1, 2, 2, ""): 12, (None, 3, 1, "\nkept"): 5, (None, 1, 1, ""): 4, (7, 3, 1, "\n"): 1, (8, 3, 0, "kept\nkept\nkept"): 1}
+
+
 def test_kneser_ney_is_brute_force(docs, empty, rows):
     tokens = {r[0]: [*(r[1] or "").lower().split(), "</s>"] for r in rows}
     learn = [i for i in tokens if zlib.crc32(str(i).encode()) % 10]
