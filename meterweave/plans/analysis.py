@@ -28,7 +28,7 @@ class Settings:
     """Parameters of an analysis, with the usual values."""
 
     mapping: Mapping[str, str] | None = None
-    timestamp_pattern: str | None = None
+    timestamp_pattern: str | list[str] | None = None
     severities: Mapping[str, str] | None = None
     strict: bool = False
     ordinal: str | None = None
@@ -81,13 +81,19 @@ def prepare(
 ) -> tuple[DataFrame, int, DataFrame]:
     """Observations on the regular grid, the interval in minutes, and the findings.
 
-    Raises on fatal findings; duplicates are reported and removed.
+    Raises on fatal findings; duplicates are reported and removed. With the
+    pattern "auto" times are read as most of them can be; a second way to read
+    them is a finding.
     """
-    findings = validation.validate_readings(
-        sources.map_columns(raw, settings.mapping or {}), settings.severities, settings.timestamp_pattern
-    )
+    mapped, pattern = sources.map_columns(raw, settings.mapping or {}), settings.timestamp_pattern
+    notes = None
+    if pattern == "auto":
+        notes = sources.ambiguous_findings(sources.timestamp_patterns(mapped))
+        mapped, pattern = sources.with_found_timestamps(mapped), None
+    findings = validation.validate_readings(mapped, settings.severities, pattern)
+    findings = findings if notes is None else findings.unionByName(notes)
     validation.raise_if_fatal(findings, settings.strict)
-    rows = sources.canonicalize(raw, settings.mapping, settings.timestamp_pattern)
+    rows = sources.canonicalize(mapped, None, pattern)
     rows = validation.dedupe_readings(rows, settings.ordinal)
     rows = weather.merge_temperature(
         rows, site_weather, settings.weather_tolerance_minutes, settings.weather_overrides
@@ -153,7 +159,7 @@ def analyze(
     }
     if "temperature_f" in observations.columns:
         points = features.weekday_daily_means(observations)
-        tables["daily_temperature"] = features.daily_temperature(observations)
+        tables["daily_temperature"] = features.entity_temperature(observations, members)
         tables["temperature_bands"] = features.temperature_bands(
             observations.select("meter_id", "timestamp", "temperature_f"), settings.bands_f
         )

@@ -61,7 +61,7 @@ def run(spark, tmp_path_factory):
         pairs([("vault",)], ("meter_id",)),
     )
     settings = analysis.Settings(
-        {"timestamp": "read", "meter_id": "meter", "demand_kw": "load"}, "dd.MM.yyyy HH:mm", ordinal="position",
+        {"timestamp": "read", "meter_id": "meter", "demand_kw": "load"}, "auto", ordinal="position",
         weather_tolerance_minutes=30, holidays=("2024-02-19",), thresholds_kw=(120.0, 260.0),
     )
     stage = analysis.written(str(tmp_path_factory.mktemp("stages")))
@@ -114,6 +114,10 @@ def test_what_the_days_are_like(run):
     assert choice["mill"] == 2
     best = tables["change_points"].where("is_selected").toPandas()
     assert set(best.meter_id) == set(METERS)
+    warmth = tables["daily_temperature"].toPandas().pivot(index="date", columns="entity_id", values="mean_temperature_f")
+    assert set(warmth.columns) == {*METERS, "Docks", "Works", "Harbour", "Portfolio"}
+    # The yard has lost fewer temperatures than the pier.
+    assert warmth["Docks"].equals(warmth["yard"]) and warmth["Portfolio"].equals(warmth["mill"])
 
 
 def test_how_meters_coincide(run):
