@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterweave import schema
-from meterweave.sources.readings import as_number, as_timestamp
+from meterweave.sources.readings import as_number, as_timestamp, canonicalize
 
 FINDING = "severity string, message string, section string, n bigint"
 
@@ -14,52 +16,42 @@ class ValidationError(RuntimeError):
     """Raised when fatal findings are present."""
 
 
-def validate_readings(
-    rows: DataFrame, severities: dict[str, str] | None = None, pattern: str | None = None
-) -> DataFrame:
-    """Findings (severity, message, section, n) with n > 0.
+#: What is counted, and how a finding says it.
+TEXTS = {
+    "unparsable_timestamp": "timestamp value(s) failed to parse",
+    "nonnumeric_demand": "demand_kw value(s) are nonnumeric",
+    "negative_demand": "negative demand_kw value(s) detected; negative demand is not supported",
+    "missing_meter_id": "row(s) missing meter_id",
+    "duplicate_timestamp": "duplicate (meter_id, timestamp) record(s) detected",
+}
 
-    One pass: rows are pre-aggregated by (meter, stamp), the duplicates are the
-    surplus over the number of groups. A missing required column stops the check.
-    """
-    spark = rows.sparkSession
+
+def _absent(rows: DataFrame) -> DataFrame | None:
+    """Findings on required columns that rows do not have; None if it has all."""
     absent = [c for c in schema.REQUIRED_COLUMNS if c not in rows.columns]
-    if absent:
-        found = [(schema.ERROR, f"Required column '{c}' missing after mapping", "ingestion", 1) for c in absent]
-        return spark.createDataFrame(found, FINDING)
-    levels = {
-        "unparsable_timestamp": schema.ERROR,
-        "nonnumeric_demand": schema.ERROR,
-        "negative_demand": schema.ERROR,
-        "missing_meter_id": schema.ERROR,
-        "duplicate_timestamp": schema.ERROR,
-        **{k: v.upper() for k, v in (severities or {}).items()},
-    }
-    stamp = as_timestamp("timestamp", rows.schema["timestamp"].dataType, pattern)
-    number = as_number("demand_kw")
-    counts = (
-        rows.select("meter_id", stamp.alias("stamp"), F.col("demand_kw").isNotNull().alias("given"), number.alias("kw"))
-        .groupBy("meter_id", "stamp")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("given") & F.col("kw").isNull()).alias("nonnumeric"),
-            F.count_if(F.col("kw") < 0).alias("negative"),
-        )
-        .agg(
-            F.sum(F.when(F.col("stamp").isNull(), F.col("n"))).alias("unparsable_timestamp"),
-            F.sum("nonnumeric").alias("nonnumeric_demand"),
-            F.sum("negative").alias("negative_demand"),
-            F.sum(F.when(F.col("meter_id").isNull(), F.col("n"))).alias("missing_meter_id"),
-            (F.sum("n") - F.count(F.lit(1))).alias("duplicate_timestamp"),
-        )
+    found = [(schema.ERROR, f"Required column '{c}' missing after mapping", "ingestion", 1) for c in absent]
+    return rows.sparkSession.createDataFrame(found, FINDING) if found else None
+
+
+def _counts(given: Column, kw: Column) -> list[Column]:
+    """What goes into a group of rows of one meter and stamp."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(given & kw.isNull()).alias("nonnumeric"),
+        F.count_if(kw < 0).alias("negative"),
+    ]
+
+
+def _findings(groups: DataFrame, severities: dict[str, str] | None) -> DataFrame:
+    """Findings from the counts per (meter_id, timestamp); duplicates are the surplus over the number of groups."""
+    levels = {**dict.fromkeys(TEXTS, schema.ERROR), **{k: v.upper() for k, v in (severities or {}).items()}}
+    counts = groups.agg(
+        F.sum(F.when(F.col("timestamp").isNull(), F.col("n"))).alias("unparsable_timestamp"),
+        F.sum("nonnumeric").alias("nonnumeric_demand"),
+        F.sum("negative").alias("negative_demand"),
+        F.sum(F.when(F.col("meter_id").isNull(), F.col("n"))).alias("missing_meter_id"),
+        (F.sum("n") - F.count(F.lit(1))).alias("duplicate_timestamp"),
     )
-    texts = {
-        "unparsable_timestamp": "timestamp value(s) failed to parse",
-        "nonnumeric_demand": "demand_kw value(s) are nonnumeric",
-        "negative_demand": "negative demand_kw value(s) detected; negative demand is not supported",
-        "missing_meter_id": "row(s) missing meter_id",
-        "duplicate_timestamp": "duplicate (meter_id, timestamp) record(s) detected",
-    }
     entries = F.array(
         *[
             F.struct(
@@ -68,12 +60,49 @@ def validate_readings(
                 F.lit("ingestion").alias("section"),
                 F.col(k).alias("n"),
             )
-            for k, text in texts.items()
+            for k, text in TEXTS.items()
         ]
     )
     return counts.select(F.inline(entries)).where("n > 0")
 
 
+def validate_readings(
+    rows: DataFrame, severities: dict[str, str] | None = None, pattern: str | list[str] | None = None
+) -> DataFrame:
+    """Findings (severity, message, section, n) with n > 0.
+
+    One pass: rows are pre-aggregated by (meter, stamp). A missing required
+    column stops the check.
+    """
+    absent = _absent(rows)
+    if absent is not None:
+        return absent
+    stamp = as_timestamp("timestamp", rows.schema["timestamp"].dataType, pattern)
+    typed = rows.select("meter_id", stamp.alias("timestamp"), F.col("demand_kw").isNotNull().alias("given"), as_number("demand_kw").alias("kw"))
+    return _findings(typed.groupBy("meter_id", "timestamp").agg(*_counts(F.col("given"), F.col("kw"))), severities)
+
+
+def counted_readings(
+    rows: DataFrame, stage: Callable[[DataFrame, str], DataFrame], ordinal: str | None = None,
+    severities: dict[str, str] | None = None, pattern: str | list[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(canonical rows without duplicates, findings), from one reading of the source.
+
+    The aggregation that takes duplicates out counts on the way what went into
+    each row. Its result is staged; the findings are summed over the counts
+    there. rows have canonical names.
+    """
+    absent = _absent(rows)
+    if absent is not None:
+        return rows, absent
+    given = rows.withColumn("_given", F.col("demand_kw").isNotNull())
+    kept = _deduped(canonicalize(given, None, pattern), ordinal, _counts(F.col("_given"), F.col("demand_kw")))
+    staged = stage(kept.drop("_given"), "readings")
+    counts = ["n", "nonnumeric", "negative"]
+    named = staged.select("meter_id", "timestamp", *[F.col(f"_{c}").alias(c) for c in counts])
+    return staged.drop(*[f"_{c}" for c in counts]), _findings(named, severities)
+
+
 def fatal_findings(findings: DataFrame, strict: bool = False) -> DataFrame:
     """Findings that stop the analysis. Duplicates do not: they are removed."""
     duplicates = (F.col("section") == "ingestion") & F.lower("message").contains("duplicate")
@@ -96,9 +125,14 @@ def dedupe_readings(rows: DataFrame, ordinal: str | None = None) -> DataFrame:
     there is none, the lowest non-null demand is kept. Written as an
     aggregation, so copies go before the shuffle.
     """
+    return _deduped(rows, ordinal, [])
+
+
+def _deduped(rows: DataFrame, ordinal: str | None, counts: list[Column]) -> DataFrame:
     keys = ["meter_id", "timestamp"]
     rest = [c for c in rows.columns if c not in keys]
     first = [F.col(ordinal).isNull(), F.col(ordinal)] if ordinal else []
     order = [*first, F.col("demand_kw").isNull(), *[F.col(c) for c in sorted(rest, key=lambda c: c != "demand_kw")]]
-    kept = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("kept"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}") for c in rows.columns])
+    kept = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("kept"), *counts)
+    found = [F.col(c).alias(f"_{c}") for c in kept.columns if c not in (*keys, "kept")]
+    return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}") for c in rows.columns], *found)

@@ -1,7 +1,8 @@
 """The whole analysis: raw readings to result tables.
 
-Two tables are read by many operators, the filled observations and the load of
-all entities. They are staged: kept by Spark, or written to a folder that all
+The source is read once: the readings without duplicates are staged, and so are
+two tables that many operators read, the filled observations and the load of
+all entities. Staged means: kept by Spark, or written to a folder that all
 executors share and read back, which also cuts the plan. All other steps are
 lazy DataFrames over them.
 """
@@ -90,11 +91,9 @@ def prepare(
     if pattern == "auto":
         notes = sources.ambiguous_findings(sources.timestamp_patterns(mapped))
         mapped, pattern = sources.with_found_timestamps(mapped), None
-    findings = validation.validate_readings(mapped, settings.severities, pattern)
+    rows, findings = validation.counted_readings(mapped, stage, settings.ordinal, settings.severities, pattern)
     findings = findings if notes is None else findings.unionByName(notes)
     validation.raise_if_fatal(findings, settings.strict)
-    rows = sources.canonicalize(mapped, None, pattern)
-    rows = validation.dedupe_readings(rows, settings.ordinal)
     rows = weather.merge_temperature(
         rows, site_weather, settings.weather_tolerance_minutes, settings.weather_overrides
     )

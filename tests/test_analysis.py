@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 
+from meterweave.operators import validation
 from meterweave.plans import analysis
 from meterweave.sources import sinks
 
@@ -69,6 +70,32 @@ def run(spark, tmp_path_factory):
     return observations, minutes, findings, analysis.analyze(observations, minutes, sites, settings, stage)
 
 
+@pytest.mark.parametrize("pattern", ["dd.MM.yyyy HH:mm", "missing"])
+def test_the_source_is_read_once(spark, tmp_path, pattern):
+    rows = raw_rows()[:200] + [("05.02.2024 00:30", "mill", "none", 900), ("no time", "mill", "1", 901), ("06.02.2024 00:30", None, "-3", 902)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    columns = "timestamp string, meter_id string, demand_kw string, position int"
+    raw = spark.createDataFrame(rows, columns).mapInArrow(passed, columns)
+    if pattern == "missing":
+        with pytest.raises(validation.ValidationError, match="demand_kw"):
+            analysis.prepare(raw.drop("demand_kw"), analysis.Settings())
+        return
+    levels = {"unparsable_timestamp": "info", "nonnumeric_demand": "warning", "negative_demand": "warning", "missing_meter_id": "warning"}
+    settings = analysis.Settings(timestamp_pattern=pattern, ordinal="position", severities=levels)
+    observations, minutes, findings = analysis.prepare(raw, settings, stage=analysis.written(str(tmp_path)))
+    assert minutes == 30 and observations.where("meter_id = 'mill'").count() >= 200
+    got = {r.message: (r.severity, r.n) for r in findings.collect()}
+    assert seen.value == len(rows)
+    want = validation.validate_readings(spark.createDataFrame(rows, columns), levels, pattern)
+    assert got == {r.message: (r.severity, r.n) for r in want.collect()} and len(got) == 5
+
+
 def test_observations(run):
     observations, minutes, findings, _ = run
     assert minutes == 30
