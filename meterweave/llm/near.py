@@ -83,8 +83,8 @@ def sketch(k: int, bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]]
             for r in range(rows):
                 band = mixed(band * U(0x9E3779B97F4A7C15) + signature[:, :, r])
             size = np.where(counts > 0, bands, 0)
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists(band[counts > 0].reshape(-1).view(np.int64), size, pa.int64())]
-            yield pa.record_batch(columns, names=["doc_id", "n_shingles", "set_id", "bands"])
+            columns = [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), lists(band[counts > 0].reshape(-1).view(np.int64), size, pa.int64())]
+            yield pa.record_batch(columns, names=["doc_id", "row", "n_shingles", "set_id", "bands"])
 
     return run
 
@@ -218,19 +218,22 @@ def near_duplicates(docs: DataFrame, similarity: int = 80, k: int = SHINGLE, ban
     use full sets.
 
     Texts without words (null, empty, white space) have an empty set and are
-    linked with nothing. Equal rows are one class and each is returned. A class
-    all of whose ids are null takes no links beyond itself and has no
+    linked with nothing. Equal rows are one class and each is returned. Rows
+    with a null id link as all others; only a group without any id has no
     component_id. Empty tables give no rows.
     """
-    schema = "doc_id long, n_shingles long, set_id binary, bands array<long>"
-    sketches = stored(docs.select("doc_id", "text").mapInArrow(sketch(k, bands, rows), schema), "sketches")
+    schema = "doc_id long, row long, n_shingles long, set_id binary, bands array<long>"
+    # Where a class's text is found again: by id or, without one, by the text. Other texts met there have another set_id.
+    named = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("row"), "text")
+    sketches = stored(named.mapInArrow(sketch(k, bands, rows), schema), "sketches")
     some = sketches.where("n_shingles > 0")
-    classes = some.groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")).where("least_id IS NOT NULL")
-    places = classes.select("set_id", "n", "least_id", F.posexplode("bands").alias("band", "value"))
+    source = F.min(F.struct(F.col("doc_id").isNull(), F.col("row").alias("row")))["row"]
+    classes = some.groupBy("set_id").agg(F.min("doc_id").alias("least_id"), source.alias("row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    places = classes.select("set_id", "n", "row", F.posexplode("bands").alias("band", "value"))
     shared = places.groupBy("band", "value").agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last")).where("hub != last").drop("last")
     members = stored(places.join(shared, ["band", "value"]), "buckets")
-    nodes = members.select("set_id", "least_id", "n").distinct()
-    chosen = docs.select("doc_id", "text").join(nodes.select("set_id", F.col("least_id").alias("doc_id")), "doc_id")
+    nodes = members.select("set_id", "row", "n").distinct()
+    chosen = named.drop("doc_id").join(nodes.select("set_id", "row"), "row")
     sets = stored(chosen.mapInArrow(full_sets(k), "set_id binary, shingles array<long>, parity array<long>").dropDuplicates(["set_id"]), "sets")
     fits = lambda x, y: (100 * F.least(x, y) >= similarity * F.greatest(x, y))
 

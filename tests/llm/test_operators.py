@@ -117,6 +117,23 @@ def test_near_duplicates_are_brute_force(docs, empty, rows):
     assert near_duplicates(empty).isEmpty()
 
 
+def test_near_duplicates_link_through_rows_without_id(spark):
+    rng = random.Random(21)
+    a, alone, lone = words(rng, 80), words(rng, 80), words(rng, 80)
+    # Each text is near the next one only, so that 1 and 4 are linked through the rows without id.
+    chain = [a]
+    for i in range(3):
+        w = chain[-1].split()
+        w[6 * i : 6 * i + 3] = [f"new{i}a", f"new{i}b", f"new{i}c"]
+        chain.append(" ".join(w))
+    data = [(1, chain[0]), (None, chain[1]), (None, chain[1]), (None, chain[2]), (4, chain[3]), (None, alone), (None, f"{alone} end"), (7, lone), (7, lone), (None, ""), (None, None)]
+    got = near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 80).collect()
+    found = collections.Counter((r["doc_id"], r["component_id"]) for r in got)
+    assert found == {(1, 1): 1, (None, 1): 3, (4, 1): 1, (None, None): 4, (7, 7): 2}
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(76)} for t in chain]
+    assert all(100 * len(x & y) >= 80 * len(x | y) for x, y in zip(sets, sets[1:])) and 100 * len(sets[0] & sets[3]) < 80 * len(sets[0] | sets[3])
+
+
 def test_first_of_groups_with_null_and_repeated_ids(spark):
     rng = random.Random(12)
     a, b, c, d, e, f, g = (words(rng, 80) for _ in range(7))
