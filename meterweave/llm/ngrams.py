@@ -6,7 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 from urllib.parse import urlparse
 
 import numpy as np
@@ -21,6 +21,8 @@ START, END = U(0x5BD1E995A3B2C1D0), U(0x1B873593CC9E2D51)
 #: Text that one shard of the pair counts stands for (of triples half of it), and text counted at a time before the shuffle.
 SHARD_BYTES, COUNTED = 32 << 20, 8 << 20
 TEXT = 4 << 20
+#: Files of the model that a worker keeps mapped at a time.
+MAPPED = 128
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,13 +56,27 @@ def triple_key(context: np.ndarray, before: np.ndarray, token: np.ndarray, bits:
     return (pair_key(before, token) >> top << top) | (key >> U(bits))
 
 
+def squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, each as its lowest bytes, then its next ones and so on, compressed: high bytes are mostly equal."""
+    return pa.compress(b"".join(c.view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns), codec="zstd", asbytes=True) if len(columns[0]) else b""
+
+
+def unsqueezed(data: bytes, n: int, *kinds: type) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize * n for k in kinds]
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=sum(sizes), codec="zstd"), np.uint8) if n else np.zeros(0, np.uint8)
+    return [np.ascontiguousarray(x.reshape(-1, n).T).view(k).reshape(n) if n else np.zeros(0, k) for x, k in zip(np.split(raw, np.cumsum(sizes)[:-1]), kinds, strict=True)]
+
+
 def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
-    return np.uint32(len(keys)).tobytes() + keys.astype(U).tobytes() + np.ascontiguousarray(values, dtype=np.uint32).tobytes()
+    """Sorted keys as steps from one to the next, and rows of counts below 2^32."""
+    steps = np.diff(keys.astype(U), prepend=U(0))
+    return np.uint32(len(keys)).tobytes() + squeezed(steps, *(np.ascontiguousarray(c, dtype=np.uint32) for c in np.asarray(values).T))
 
 
 def unpacked(block: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(block, np.uint32, 1)[0])
-    return np.frombuffer(block, U, n, 4), np.frombuffer(block, np.uint32, n * width, 4 + 8 * n).reshape(n, width)
+    steps, *values = unsqueezed(block[4:], n, U, *[np.uint32] * width)
+    return np.cumsum(steps, dtype=U), np.stack(values, 1)
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,31 +91,66 @@ def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
 
+def firsts(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it."""
+    if not len(sorted_columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0)]))
+
+
+def cuts(sorted_shards: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(shard, first row, end) of the shards that have rows."""
+    start = firsts(sorted_shards)
+    yield from zip(sorted_shards[start].tolist(), start.tolist(), [*start[1:].tolist(), len(sorted_shards)], strict=True)
+
+
+def gram_block(words: np.ndarray, before: np.ndarray, token: np.ndarray, front: list[np.ndarray], count: np.ndarray) -> bytes:
+    """Rows sorted by before, which like token and front are places in words, with a list of the words in them."""
+    used, places = np.unique(np.concatenate([before, token, *front]), return_inverse=True)
+    before, token, *front = (p.astype(np.uint32) for p in np.split(places, 2 + len(front)))
+    sizes = np.array([len(count), len(used)], np.uint32).tobytes()
+    return sizes + words[used].tobytes() + squeezed(np.diff(before, prepend=np.uint32(0)), token, count.astype(np.uint32), *front)
+
+
+def grams_of(block: bytes, order: int) -> tuple[np.ndarray, ...]:
+    """(before, token, count[, front]) of a block."""
+    n, used = np.frombuffer(block, np.uint32, 2).tolist()
+    words = np.frombuffer(block, U, used, 8)
+    steps, token, count, *front = unsqueezed(block[8 + 8 * used :], n, *[np.uint32] * (order + 1))
+    return (words[np.cumsum(steps)], words[token], count.astype(np.int64), *(words[f] for f in front))
+
+
 def count_ngrams(order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs, or triples, of a few MB of text with their counts, packed by the shard of their last two tokens:
-    contexts with the number of rows that follow, followers, counts, and of triples the first tokens."""
+    """Pairs, or triples, of a few MB of text with their counts, packed by the shard of their last two tokens.
+
+    Words of a few MB are numbered by how often they occur, and a block names
+    its words once, so that a triple takes some bytes. Only blocks with rows
+    leave, so the work does not grow with the number of shards.
+    """
 
     def flush(texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = []
-        for i in range(0, len(texts), 512):
-            token, before, n = tokens(texts[i : i + 512])
-            parts.append((token, before, earlier(before, n)) if order == 3 else (token, before))
-        grams = [np.concatenate([p[i] for p in parts]) for i in range(order)]
+        parts = [tokens(texts[i : i + 512]) for i in range(0, len(texts), 512)]
+        start = np.concatenate([p[1] == START for p in parts])
+        words, token, times = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True, return_counts=True)
         del parts
+        often = np.argsort(-times, kind="stable")
+        number = np.empty(len(words), np.int32)
+        number[often] = np.arange(len(words))
+        words, token = np.append(words[often], START), number[token]
+        grams = [token]
+        for _ in range(order - 1):
+            grams.append(np.where(start, np.int32(len(words) - 1), np.concatenate([grams[-1][:1], grams[-1][:-1]])))
         by = np.lexsort((*grams[2:], grams[0], grams[1]))
         grams = [g[by] for g in grams]
-        first = np.flatnonzero(np.concatenate([[True], np.any([g[1:] != g[:-1] for g in grams], axis=0)]))
-        count = np.diff(np.concatenate([first, [len(by)]])).astype(np.uint32)
+        first = firsts(*grams)
+        count = np.diff(np.append(first, len(by)))
         token, before, *front = (g[first] for g in grams)
-        shard = shard_of(pair_key(before, token), bits)
-        out = []
-        for s in range(1 << bits):
-            at = np.flatnonzero(shard == s)
-            b = before[at]
-            run = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, np.int64)
-            length = np.diff(np.concatenate([run, [len(b)]])).astype(np.uint32) if len(b) else run.astype(np.uint32)
-            out.append(packed(b[run], length) + packed(token[at], count[at]) + b"".join(f[at].tobytes() for f in front))
-        yield pa.record_batch([pa.array(range(1 << bits), pa.int32()), pa.array(out, pa.binary())], names=["shard", "block"])
+        shard = shard_of(pair_key(words[before], words[token]), bits)
+        by = np.argsort(shard, kind="stable")
+        token, before, count, *front = (g[by] for g in (token, before, count, *front))
+        found = list(cuts(shard[by]))
+        out = [gram_block(words, before[low:high], token[low:high], [f[low:high] for f in front], count[low:high]) for _, low, high in found]
+        yield pa.record_batch([pa.array([s for s, _, _ in found], pa.int32()), pa.array(out, pa.binary())], names=["shard", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -133,35 +184,24 @@ def merge_ngrams(path: str, order: int, bits: int) -> Callable[[tuple, pa.Table]
     def known(kind: str, shard: int, key: np.ndarray, count: np.ndarray) -> tuple[str, int, bytes]:
         once = count == 1
         save(f"{path}/{kind}-{shard}", once=key[once], more=key[~once], count=count[~once])
-        return f"{kind}_count", 0, packed(np.arange(1, 5), [[int((count == i).sum())] for i in range(1, 5)])
+        return f"{kind}_count", shard, packed(np.arange(1, 5), [[int((count == i).sum())] for i in range(1, 5)])
 
     def by_shard(kind: str, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
         keys, values = summed(keys, values)
-        shard = shard_of(keys, bits)
-        yield from ((kind, s, packed(keys[shard == s], values[shard == s])) for s in range(1 << bits))
+        yield from ((kind, s, packed(keys[low:high], values[low:high])) for s, low, high in cuts(shard_of(keys, bits)))
 
     in_classes = lambda count: np.stack([count, count == 1, count == 2, count > 2], 1)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        before, token, count, front, out = [], [], [], [], []
-        for block in table["block"].to_pylist():
-            b, length = unpacked(block, 1)
-            t, c = unpacked(block[4 + 12 * len(b) :], 1)
-            before.append(np.repeat(b, length[:, 0]))
-            token.append(t)
-            count.append(c)
-            if order == 3:
-                front.append(np.frombuffer(block, U, len(t), 8 + 12 * len(b) + 12 * len(t)))
-        before, token, count = np.concatenate(before), np.concatenate(token), np.concatenate(count)[:, 0].astype(np.int64)
-        first_of = lambda x: np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+        out = []
+        before, token, count, *front = (np.concatenate(x) for x in zip(*(grams_of(b, order) for b in table["block"].to_pylist()), strict=True))
         added = lambda x, first: np.add.reduceat(x, first) if len(x) else np.zeros(0, np.int64)
         if order == 3:
-            context = pair_key(np.concatenate(front), before)
-            del front
+            context = pair_key(front.pop(), before)
             triple = triple_key(context, before, token, bits)
             by = np.argsort(triple)
             triple = triple[by]
-            first = first_of(triple)
+            first = firsts(triple)
             count, by = added(count[by], first), by[first]
             triple, context, before, token = triple[first], context[by], before[by], token[by]
             out += [known("triple", key[0].as_py(), triple, count), *by_shard("long", context, in_classes(count))]
@@ -169,7 +209,7 @@ def merge_ngrams(path: str, order: int, bits: int) -> Callable[[tuple, pa.Table]
         pair = pair_key(before, token)
         by = np.argsort(pair)
         pair = pair[by]
-        first = first_of(pair)
+        first = firsts(pair)
         times, kinds, by = added(count[by], first), np.diff(np.concatenate([first, [len(pair)]])), by[first]
         pair, before, token = pair[first], before[by], token[by]
         count = kinds if order == 3 else times
@@ -193,7 +233,9 @@ def merge_parts(path: str) -> Callable[[tuple, pa.Table], pa.Table]:
         if kind.endswith("_count"):
             sums = values[:, 0].tolist()
         elif kind != "word":
-            save(f"{path}/{kind}-{shard}", key=keys, total=values[:, 0], types=values[:, 1:].astype(np.uint32))
+            # Most contexts were seen once, with one token after them: the key says all.
+            more = values[:, 0] > 1
+            save(f"{path}/{kind}-{shard}", once=keys[~more], key=keys[more], total=values[more, 0], types=values[more, 1:].astype(np.uint32))
             sums = []
         else:
             save(f"{path}/word-{shard}", key=keys, count=values[:, 0], types=values[:, 1])
@@ -248,8 +290,9 @@ class Model:
         d = np.array(discount)
         context, at = np.unique(context, return_inverse=True)
         total, kinds = self._find(context_kind, context, "total", "types")
-        left = kinds.reshape(len(context), 3) @ d[1:] if kinds.ndim == 2 else np.zeros(len(context))
-        total, left = total[at], left[at]
+        once = self._has(context_kind, context, "once")
+        left = (kinds @ d[1:] if kinds.ndim == 2 else 0) + once * d[1]
+        total, left = (total + once)[at], left[at]
         key, back = np.unique(key, return_inverse=True)
         (more,) = self._find(kind, key, "count", key="more")
         times = np.where(more > 0, more, self._has(kind, key, "once"))[back]
@@ -258,8 +301,7 @@ class Model:
         return np.where(total > 0, high, lower)
 
     def _parts(self, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        ends = np.searchsorted(shard_of(keys, self.bits), np.arange((1 << self.bits) + 1))
-        yield from ((s, ends[s], ends[s + 1]) for s in range(1 << self.bits) if ends[s] < ends[s + 1])
+        yield from cuts(shard_of(keys, self.bits))
 
     def _find(self, kind: str, keys: np.ndarray, *names: str, key: str = "key") -> list[np.ndarray]:
         """Values of sorted keys, 0 where there is none."""
@@ -286,9 +328,9 @@ class Model:
         return out
 
 
-@cache
+@lru_cache(maxsize=MAPPED)
 def mapped(path: str) -> np.ndarray:
-    """The file as an array in shared, mapped memory; a file that was never written has nothing."""
+    """The file as an array in shared, mapped memory; a file that was never written has nothing. A file dropped here is closed."""
     return np.load(path, mmap_mode="r") if os.path.exists(path) and os.path.getsize(path) > 128 else np.zeros(0, U)
 
 
@@ -316,8 +358,9 @@ def train(docs: DataFrame, model_dir: str | None = None, order: int = 2) -> Mode
     os.makedirs(path, exist_ok=True)
     blocks = docs.select("text").mapInArrow(count_ngrams(order, bits), "shard int, block binary")
     parts = blocks.groupBy("shard").applyInArrow(merge_ngrams(path, order, bits), "kind string, shard int, block binary")
-    sums = parts.groupBy("kind", "shard").applyInArrow(merge_parts(path), "kind string, sums array<long>").collect()
-    added = lambda kind, n: [sum(x) for x in zip(*(r["sums"] for r in sums if r["kind"] == kind), strict=True)] or [0] * n
+    sums = parts.groupBy("kind", "shard").applyInArrow(merge_parts(path), "kind string, sums array<long>")
+    totals = {(r["kind"], r["pos"]): r["n"] for r in sums.select("kind", F.posexplode("sums").alias("pos", "n")).groupBy("kind", "pos").agg(F.sum("n").alias("n")).collect()}
+    added = lambda kind, n: [totals.get((kind, i), 0) for i in range(n)]
     word = added("word", 7)
     types_3 = word[4] - word[0] - word[1]
     return Model(path, order, bits, tuple(discounts(added("triple_count", 4))), tuple(discounts(added("pair_count", 4))), tuple(discounts(word[:4])), (word[0], word[1], types_3), word[4], word[5], word[6])

@@ -3,7 +3,9 @@
 import collections
 import math
 import random
+import resource
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -247,6 +249,22 @@ def test_kneser_ney_of_order_three_is_brute_force(docs, empty, rows):
     assert ngrams.score(docs, ngrams.train(empty, order=3), ["doc_id"]).count() == len(rows)
 
 
+def test_a_model_of_many_shards_is_the_same_and_keeps_few_files_open(docs, rows, monkeypatch):
+    few = ngrams.train(docs, order=3)
+    monkeypatch.setattr(ngrams, "SHARD_BYTES", 1 << 8)
+    many = ngrams.train(docs, order=3)
+    assert 1 << few.bits < 10 and 1 << many.bits >= 200
+    assert replace(many, path="", bits=0) == replace(few, path="", bits=0)
+    token, before, n = ngrams.tokens([(r[1] or "").encode() for r in rows])
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (256, hard))
+    try:
+        found = [m.probabilities(token, before, ngrams.earlier(before, n)) for m in (few, many)]
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+    assert (found[0][0] == found[1][0]).all() and (found[0][1] == found[1][1]).all()
+
+
 def test_mixing(docs, empty, rows):
     got = mix_taken(docs, block=8).collect()
     assert sorted(r["doc_id"] for r in got) == [r[0] for r in rows]
