@@ -19,7 +19,7 @@ from meterweave.llm.words import BETWEEN_SPACE, U, gathered, mixed, word_hashes
 
 START, END = U(0x5BD1E995A3B2C1D0), U(0x1B873593CC9E2D51)
 #: Text that one shard of the pair counts stands for (of triples half of it), and text counted at a time before the shuffle.
-SHARD_BYTES, COUNTED = 32 << 20, 8 << 20
+SHARD_BYTES, COUNTED = 64 << 20, 32 << 20
 TEXT = 4 << 20
 #: Files of the model that a worker keeps mapped at a time.
 MAPPED = 128
@@ -175,6 +175,45 @@ def save(path: str, **arrays: np.ndarray) -> None:
         os.replace(f.name, at)
 
 
+def narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max()))) if x.size else x.astype(np.uint8)
+
+
+def bucketed(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of a shard as 32 bits each, and where the keys of each bucket start; some 16 keys are in one.
+
+    Shard, bucket and these bits are kept of a key: a key that is not there is
+    taken for one that is with a chance of some 16 in 2^32.
+    """
+    rest = keys << U(bits)
+    wide = max(1, (len(keys) // 16).bit_length())
+    at = np.searchsorted(rest >> U(64 - wide), np.arange((1 << wide) + 1, dtype=U)).astype(np.uint32)
+    return ((rest << U(wide)) >> U(32)).astype(np.uint32), at
+
+
+def placed(keys: np.ndarray, known: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(whether each key is known, its place among the known ones), all buckets halved at once until one place is left."""
+    rest = keys << U(bits)
+    wide = (len(at) - 1).bit_length() - 1
+    bucket = (rest >> U(64 - wide)).astype(np.int64)
+    want = ((rest << U(wide)) >> U(32)).astype(np.uint32)
+    low, high = at[bucket].astype(np.int64), at[bucket + 1].astype(np.int64)
+    end = high
+    for _ in range(int((high - low).max(initial=0)).bit_length()):
+        middle = (low + high) >> 1
+        less = (low < high) & (known[np.minimum(middle, len(known) - 1)] < want)
+        low, high = np.where(less, middle + 1, low), np.where(less, high, middle)
+    spot = np.minimum(low, len(known) - 1)
+    return (low < end) & (known[spot] == want), spot
+
+
+def save_keys(path: str, bits: int, **keys: np.ndarray) -> None:
+    for name, array in keys.items():
+        if len(array):
+            kept, at = bucketed(array, bits)
+            save(path, **{name: kept, f"{name}_at": at})
+
+
 def merge_ngrams(path: str, order: int, bits: int) -> Callable[[tuple, pa.Table], pa.Table]:
     """Writes the triples and pairs of a shard and passes on what contexts and words have in it, packed by their own shard.
 
@@ -183,7 +222,8 @@ def merge_ngrams(path: str, order: int, bits: int) -> Callable[[tuple, pa.Table]
 
     def known(kind: str, shard: int, key: np.ndarray, count: np.ndarray) -> tuple[str, int, bytes]:
         once = count == 1
-        save(f"{path}/{kind}-{shard}", once=key[once], more=key[~once], count=count[~once])
+        save_keys(f"{path}/{kind}-{shard}", bits, once=key[once], more=key[~once])
+        save(f"{path}/{kind}-{shard}", count=narrow(count[~once]))
         return f"{kind}_count", shard, packed(np.arange(1, 5), [[int((count == i).sum())] for i in range(1, 5)])
 
     def by_shard(kind: str, keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[str, int, bytes]]:
@@ -223,7 +263,7 @@ def merge_ngrams(path: str, order: int, bits: int) -> Callable[[tuple, pa.Table]
 WIDTH = {"triple_count": 1, "pair_count": 1, "long": 4, "context": 4, "word": 2}
 
 
-def merge_parts(path: str) -> Callable[[tuple, pa.Table], pa.Table]:
+def merge_parts(path: str, bits: int) -> Callable[[tuple, pa.Table], pa.Table]:
     """Writes the contexts or words of a shard; returns sums over them: triples, pairs or words by count, and totals."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -235,10 +275,12 @@ def merge_parts(path: str) -> Callable[[tuple, pa.Table], pa.Table]:
         elif kind != "word":
             # Most contexts were seen once, with one token after them: the key says all.
             more = values[:, 0] > 1
-            save(f"{path}/{kind}-{shard}", once=keys[~more], key=keys[more], total=values[more, 0], types=values[more, 1:].astype(np.uint32))
+            save_keys(f"{path}/{kind}-{shard}", bits, once=keys[~more], key=keys[more])
+            save(f"{path}/{kind}-{shard}", total=narrow(values[more, 0]), types=narrow(values[more, 1:]))
             sums = []
         else:
-            save(f"{path}/word-{shard}", key=keys, count=values[:, 0], types=values[:, 1])
+            save_keys(f"{path}/word-{shard}", bits, key=keys)
+            save(f"{path}/word-{shard}", count=narrow(values[:, 0]), types=narrow(values[:, 1]))
             sums = [int((values[:, 1] == i).sum()) for i in range(1, 5)] + [len(keys), int(values[:, 0].sum()), int(values[:, 1].sum())]
         return pa.table([pa.array([kind]), pa.array([sums], pa.list_(pa.int64()))], names=["kind", "sums"])
 
@@ -300,31 +342,28 @@ class Model:
         high = np.maximum(times - d[np.minimum(times, 3)], 0) / seen + left / seen * lower
         return np.where(total > 0, high, lower)
 
-    def _parts(self, keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        yield from cuts(shard_of(keys, self.bits))
+    def _places(self, kind: str, keys: np.ndarray, name: str) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:
+        """(shard, the sorted keys in it, which of them are there, their places)."""
+        for s, low, high in cuts(shard_of(keys, self.bits)):
+            known, at = (mapped(f"{self.path}/{kind}-{s}-{x}.npy") for x in (name, f"{name}_at"))
+            if len(known):
+                yield (s, slice(low, high), *placed(keys[low:high], known, at, self.bits))
 
     def _find(self, kind: str, keys: np.ndarray, *names: str, key: str = "key") -> list[np.ndarray]:
         """Values of sorted keys, 0 where there is none."""
         out: list = [None] * len(names)
-        for s, low, high in self._parts(keys):
-            known = mapped(f"{self.path}/{kind}-{s}-{key}.npy")
-            if not len(known):
-                continue
-            at = np.minimum(np.searchsorted(known, keys[low:high]), len(known) - 1)
-            same = known[at] == keys[low:high]
+        for s, part, same, spot in self._places(kind, keys, key):
             for i, name in enumerate(names):
                 values = mapped(f"{self.path}/{kind}-{s}-{name}.npy")
                 if out[i] is None:
                     out[i] = np.zeros((len(keys), *values.shape[1:]), np.int64)
-                out[i][low:high][same] = values[at[same]]
+                out[i][part][same] = values[spot[same]]
         return [np.zeros(len(keys), np.int64) if x is None else x for x in out]
 
     def _has(self, kind: str, keys: np.ndarray, name: str) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
-        for s, low, high in self._parts(keys):
-            known = mapped(f"{self.path}/{kind}-{s}-{name}.npy")
-            if len(known):
-                out[low:high] = known[np.minimum(np.searchsorted(known, keys[low:high]), len(known) - 1)] == keys[low:high]
+        for _, part, same, _ in self._places(kind, keys, name):
+            out[part] = same
         return out
 
 
@@ -358,7 +397,7 @@ def train(docs: DataFrame, model_dir: str | None = None, order: int = 2) -> Mode
     os.makedirs(path, exist_ok=True)
     blocks = docs.select("text").mapInArrow(count_ngrams(order, bits), "shard int, block binary")
     parts = blocks.groupBy("shard").applyInArrow(merge_ngrams(path, order, bits), "kind string, shard int, block binary")
-    sums = parts.groupBy("kind", "shard").applyInArrow(merge_parts(path), "kind string, sums array<long>")
+    sums = parts.groupBy("kind", "shard").applyInArrow(merge_parts(path, bits), "kind string, sums array<long>")
     totals = {(r["kind"], r["pos"]): r["n"] for r in sums.select("kind", F.posexplode("sums").alias("pos", "n")).groupBy("kind", "pos").agg(F.sum("n").alias("n")).collect()}
     added = lambda kind, n: [totals.get((kind, i), 0) for i in range(n)]
     word = added("word", 7)
