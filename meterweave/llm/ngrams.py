@@ -19,7 +19,7 @@ from meterweave.llm.words import BETWEEN_SPACE, U, gathered, mixed, word_hashes
 
 START, END = U(0x5BD1E995A3B2C1D0), U(0x1B873593CC9E2D51)
 #: Text that one shard of the pair counts stands for (of triples half of it), and text counted at a time before the shuffle.
-SHARD_BYTES, COUNTED = 64 << 20, 32 << 20
+SHARD_BYTES, COUNTED = 128 << 20, 32 << 20
 TEXT = 4 << 20
 #: Files of the model that a worker keeps mapped at a time.
 MAPPED = 128
@@ -47,7 +47,8 @@ def earlier(before: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def pair_key(before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    return mixed(before * U(0x9E3779B97F4A7C15) + token)
+    """Key of two names; names are places in lists, so the first is spread before they are added."""
+    return mixed(mixed(before) + token)
 
 
 def triple_key(context: np.ndarray, before: np.ndarray, token: np.ndarray, bits: int) -> np.ndarray:
@@ -76,7 +77,7 @@ def packed(keys: np.ndarray, values: np.ndarray) -> bytes:
 def unpacked(block: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(block, np.uint32, 1)[0])
     steps, *values = unsqueezed(block[4:], n, U, *[np.uint32] * width)
-    return np.cumsum(steps, dtype=U), np.stack(values, 1)
+    return np.cumsum(steps, dtype=U), np.stack(values, 1) if width else np.zeros((n, 0), np.uint32)
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,23 +105,83 @@ def cuts(sorted_shards: np.ndarray) -> Iterator[tuple[int, int, int]]:
     yield from zip(sorted_shards[start].tolist(), start.tolist(), [*start[1:].tolist(), len(sorted_shards)], strict=True)
 
 
+def unlisted(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Names of words that are in no list: the bit below those of the shard is set."""
+    return hashes | U(1 << 63 - bits)
+
+
+def named(path: str, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Name of each of the sorted word hashes: its shard in the top bits, below it its place in the sorted list of the shard's words."""
+    out = unlisted(hashes, bits)
+    for s, low, high in cuts(shard_of(hashes, bits)):
+        known = mapped(f"{path}/list-{s}-hash.npy")
+        if len(known):
+            spot = np.minimum(np.searchsorted(known, hashes[low:high]), len(known) - 1)
+            out[low:high] = np.where(known[spot] == hashes[low:high], U(s << 64 - bits) | spot.astype(U), out[low:high])
+    return out
+
+
+def scattered(names: np.ndarray, bits: int) -> np.ndarray:
+    """Names as keys that fill the range of their shard evenly."""
+    top = U(64 - bits)
+    return (names >> top << top) | (mixed(names) >> U(bits))
+
+
+def list_words(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Distinct words of a few MB of text, packed by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in held(batches):
+            words = np.unique(np.concatenate([tokens(texts[i : i + 512])[0] for i in range(0, len(texts), 512)]))
+            found = list(cuts(shard_of(words, bits)))
+            blocks = [packed(words[low:high], np.zeros((high - low, 0))) for _, low, high in found]
+            yield pa.record_batch([pa.array([s for s, _, _ in found], pa.int32()), pa.array(blocks, pa.binary())], names=["shard", "block"])
+
+    return run
+
+
+def merge_words(path: str) -> Callable[[tuple, pa.Table], pa.Table]:
+    """Writes the sorted words of a shard, whose places name them from here on; returns their number."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        words = np.unique(np.concatenate([unpacked(b, 0)[0] for b in table["block"].to_pylist()]))
+        save(f"{path}/list-{key[0].as_py()}", hash=words)
+        return pa.table({"n": pa.array([len(words)], pa.int64())})
+
+    return run
+
+
+def held(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """Texts of COUNTED bytes or more at a time."""
+    out, size = [], 0
+    for _, texts in gathered(batches, "text"):
+        out += texts
+        size += sum(map(len, texts))
+        if size >= COUNTED:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
+
+
 def gram_block(words: np.ndarray, before: np.ndarray, token: np.ndarray, front: list[np.ndarray], count: np.ndarray) -> bytes:
-    """Rows sorted by before, which like token and front are places in words, with a list of the words in them."""
+    """Rows sorted by before, which like token and front are places in words, with a list of the names of the words in them."""
     used, places = np.unique(np.concatenate([before, token, *front]), return_inverse=True)
     before, token, *front = (p.astype(np.uint32) for p in np.split(places, 2 + len(front)))
     sizes = np.array([len(count), len(used)], np.uint32).tobytes()
-    return sizes + words[used].tobytes() + squeezed(np.diff(before, prepend=np.uint32(0)), token, count.astype(np.uint32), *front)
+    listed = squeezed(words[used])
+    return sizes + np.uint32(len(listed)).tobytes() + listed + squeezed(np.diff(before, prepend=np.uint32(0)), token, count.astype(np.uint32), *front)
 
 
 def grams_of(block: bytes, order: int) -> tuple[np.ndarray, ...]:
     """(before, token, count[, front]) of a block."""
-    n, used = np.frombuffer(block, np.uint32, 2).tolist()
-    words = np.frombuffer(block, U, used, 8)
-    steps, token, count, *front = unsqueezed(block[8 + 8 * used :], n, *[np.uint32] * (order + 1))
+    n, used, listed = np.frombuffer(block, np.uint32, 3).tolist()
+    (words,) = unsqueezed(block[12 : 12 + listed], used, U)
+    steps, token, count, *front = unsqueezed(block[12 + listed :], n, *[np.uint32] * (order + 1))
     return (words[np.cumsum(steps)], words[token], count.astype(np.int64), *(words[f] for f in front))
 
 
-def count_ngrams(order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def count_ngrams(path: str, order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pairs, or triples, of a few MB of text with their counts, packed by the shard of their last two tokens.
 
     Words of a few MB are numbered by how often they occur, and a block names
@@ -136,7 +197,7 @@ def count_ngrams(order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]],
         often = np.argsort(-times, kind="stable")
         number = np.empty(len(words), np.int32)
         number[often] = np.arange(len(words))
-        words, token = np.append(words[often], START), number[token]
+        words, token = np.append(named(path, words, bits)[often], unlisted(START, bits)), number[token]
         grams = [token]
         for _ in range(order - 1):
             grams.append(np.where(start, np.int32(len(words) - 1), np.concatenate([grams[-1][:1], grams[-1][:-1]])))
@@ -153,15 +214,8 @@ def count_ngrams(order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]],
         yield pa.record_batch([pa.array([s for s, _, _ in found], pa.int32()), pa.array(out, pa.binary())], names=["shard", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for _, texts in gathered(batches, "text"):
-            held += texts
-            size += sum(map(len, texts))
-            if size >= COUNTED:
-                yield from flush(held)
-                held, size = [], 0
-        if held:
-            yield from flush(held)
+        for texts in held(batches):
+            yield from flush(texts)
 
     return run
 
@@ -175,6 +229,11 @@ def save(path: str, **arrays: np.ndarray) -> None:
         os.replace(f.name, at)
 
 
+def in_order(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    by = np.argsort(keys)
+    return keys[by], *(c[by] for c in columns)
+
+
 def narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max()))) if x.size else x.astype(np.uint8)
 
@@ -275,10 +334,13 @@ def merge_parts(path: str, bits: int) -> Callable[[tuple, pa.Table], pa.Table]:
         elif kind != "word":
             # Most contexts were seen once, with one token after them: the key says all.
             more = values[:, 0] > 1
+            if kind == "context":
+                keys, values, more = in_order(scattered(keys, bits), values, more)
             save_keys(f"{path}/{kind}-{shard}", bits, once=keys[~more], key=keys[more])
             save(f"{path}/{kind}-{shard}", total=narrow(values[more, 0]), types=narrow(values[more, 1:]))
             sums = []
         else:
+            keys, values = in_order(scattered(keys, bits), values)
             save_keys(f"{path}/word-{shard}", bits, key=keys)
             save(f"{path}/word-{shard}", count=narrow(values[:, 0]), types=narrow(values[:, 1]))
             sums = [int((values[:, 1] == i).sum()) for i in range(1, 5)] + [len(keys), int(values[:, 0].sum()), int(values[:, 1].sum())]
@@ -313,7 +375,11 @@ class Model:
     def probabilities(self, token: np.ndarray, before: np.ndarray, front: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(chance of each token after the one or two before it, its count in the training text)."""
         e = np.array(self.word_discount)
-        word, spot = np.unique(token, return_inverse=True)
+        known, at = np.unique(np.concatenate([token, before, front]), return_inverse=True)
+        known = np.where(known == START, unlisted(START, self.bits), named(self.path, known, self.bits))
+        token, before, front = np.split(known[at], 3)
+        scatter = lambda names: scattered(names, self.bits)
+        word, spot = np.unique(scatter(token), return_inverse=True)
         count, types = self._find("word", word, "count", "types")
         uniform = 1.0 / (self.words + 1)
         if self.pairs:
@@ -321,7 +387,7 @@ class Model:
         else:
             lower = np.full(len(word), uniform)
         lower, count = lower[spot], count[spot]
-        chance = self._after("pair", pair_key(before, token), "context", before, self.pair_discount, lower)
+        chance = self._after("pair", pair_key(before, token), "context", scatter(before), self.pair_discount, lower)
         if self.order == 3:
             context = pair_key(front, before)
             chance = self._after("triple", triple_key(context, before, token, self.bits), "long", context, self.triple_discount, chance)
@@ -383,7 +449,8 @@ def local_path(path: str) -> str:
 def train(docs: DataFrame, model_dir: str | None = None, order: int = 2) -> Model:
     """Counts the pairs (order 2) or triples (order 3) of all documents and writes the model's arrays.
 
-    Texts are counted some MB at a time, so a frequent pair leaves a task once;
+    First the distinct words are listed, so that later steps name a word by its
+    place in the list. Texts are counted some MB at a time, so a frequent pair leaves a task once;
     blocks go to the shard that the hash of their last two tokens names, which
     merges them into sorted arrays, so that all triples of a pair are in one. A frequent context or word is thereby spread over all
     shards, and its sums go on from there. Only sums of counts reach the driver.
@@ -395,7 +462,9 @@ def train(docs: DataFrame, model_dir: str | None = None, order: int = 2) -> Mode
     bits = max(3, (max(1, size) // (SHARD_BYTES >> order - 2)).bit_length())
     path = local_path(model_dir or folder(spark, "pairs"))
     os.makedirs(path, exist_ok=True)
-    blocks = docs.select("text").mapInArrow(count_ngrams(order, bits), "shard int, block binary")
+    lists = docs.select("text").mapInArrow(list_words(bits), "shard int, block binary")
+    lists.groupBy("shard").applyInArrow(merge_words(path), "n long").agg(F.sum("n")).collect()
+    blocks = docs.select("text").mapInArrow(count_ngrams(path, order, bits), "shard int, block binary")
     parts = blocks.groupBy("shard").applyInArrow(merge_ngrams(path, order, bits), "kind string, shard int, block binary")
     sums = parts.groupBy("kind", "shard").applyInArrow(merge_parts(path, bits), "kind string, sums array<long>")
     totals = {(r["kind"], r["pos"]): r["n"] for r in sums.select("kind", F.posexplode("sums").alias("pos", "n")).groupBy("kind", "pos").agg(F.sum("n").alias("n")).collect()}

@@ -254,6 +254,8 @@ def test_a_model_of_many_shards_is_the_same_and_keeps_few_files_open(docs, rows,
     monkeypatch.setattr(ngrams, "SHARD_BYTES", 1 << 8)
     many = ngrams.train(docs, order=3)
     assert 1 << few.bits < 10 and 1 << many.bits >= 200
+    distinct = len({w for r in rows for w in (r[1] or "").lower().split()})
+    assert few.words == many.words == distinct + 1
     assert replace(many, path="", bits=0) == replace(few, path="", bits=0)
     token, before, n = ngrams.tokens([(r[1] or "").encode() for r in rows])
     soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
