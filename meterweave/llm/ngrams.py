@@ -19,7 +19,7 @@ from meterweave.llm.words import BETWEEN_SPACE, U, gathered, mixed, word_hashes
 
 START, END = U(0x5BD1E995A3B2C1D0), U(0x1B873593CC9E2D51)
 #: Text that one shard of the pair counts stands for (of triples half of it), and text counted at a time before the shuffle.
-SHARD_BYTES, COUNTED = 128 << 20, 32 << 20
+SHARD_BYTES, COUNTED = 64 << 20, 32 << 20
 TEXT = 4 << 20
 #: Files of the model that a worker keeps mapped at a time.
 MAPPED = 128
@@ -169,16 +169,21 @@ def gram_block(words: np.ndarray, before: np.ndarray, token: np.ndarray, front:
     used, places = np.unique(np.concatenate([before, token, *front]), return_inverse=True)
     before, token, *front = (p.astype(np.uint32) for p in np.split(places, 2 + len(front)))
     sizes = np.array([len(count), len(used)], np.uint32).tobytes()
-    listed = squeezed(words[used])
-    return sizes + np.uint32(len(listed)).tobytes() + listed + squeezed(np.diff(before, prepend=np.uint32(0)), token, count.astype(np.uint32), *front)
+    listed, start = squeezed(words[used]), firsts(before)
+    steps = np.diff(token, prepend=np.uint32(0))
+    steps[start] = token[start]
+    return sizes + np.uint32(len(listed)).tobytes() + listed + squeezed(np.diff(before, prepend=np.uint32(0)), steps, count.astype(np.uint32), *front)
 
 
 def grams_of(block: bytes, order: int) -> tuple[np.ndarray, ...]:
     """(before, token, count[, front]) of a block."""
     n, used, listed = np.frombuffer(block, np.uint32, 3).tolist()
     (words,) = unsqueezed(block[12 : 12 + listed], used, U)
-    steps, token, count, *front = unsqueezed(block[12 + listed :], n, *[np.uint32] * (order + 1))
-    return (words[np.cumsum(steps)], words[token], count.astype(np.int64), *(words[f] for f in front))
+    before, steps, count, *front = unsqueezed(block[12 + listed :], n, *[np.uint32] * (order + 1))
+    before = np.cumsum(before)
+    start, token = firsts(before), np.cumsum(steps)
+    token -= np.repeat(token[start] - steps[start], np.diff(np.append(start, n)))
+    return (words[before], words[token], count.astype(np.int64), *(words[f] for f in front))
 
 
 def count_ngrams(path: str, order: int, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -239,24 +244,31 @@ def narrow(x: np.ndarray) -> np.ndarray:
 
 
 def bucketed(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of a shard as 32 bits each, and where the keys of each bucket start; some 16 keys are in one.
+    """Sorted keys of a shard as 32 bits each, and where the keys of each bucket start; 16 to 32 keys are in one.
 
     Shard, bucket and these bits are kept of a key: a key that is not there is
-    taken for one that is with a chance of some 16 in 2^32.
+    taken for one that is with a chance of some 32 in 2^32. Starts are kept as
+    how far they are off those of equal buckets, the greatest lag first.
     """
     rest = keys << U(bits)
-    wide = max(1, (len(keys) // 16).bit_length())
-    at = np.searchsorted(rest >> U(64 - wide), np.arange((1 << wide) + 1, dtype=U)).astype(np.uint32)
-    return ((rest << U(wide)) >> U(32)).astype(np.uint32), at
+    wide = max(1, (len(keys) // 32).bit_length())
+    at = np.searchsorted(rest >> U(64 - wide), np.arange((1 << wide) + 1, dtype=U)) - even(np.arange((1 << wide) + 1), len(keys), wide)
+    lag = max(0, -int(at.min()))
+    return ((rest << U(wide)) >> U(32)).astype(np.uint32), narrow(np.concatenate([[lag], at + lag]))
+
+
+def even(bucket: np.ndarray, n: int, wide: int) -> np.ndarray:
+    """Where a bucket starts if all of the 2^wide buckets of n keys are equal."""
+    return (bucket.astype(np.float64) * n / (1 << wide)).astype(np.int64)
 
 
 def placed(keys: np.ndarray, known: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(whether each key is known, its place among the known ones), all buckets halved at once until one place is left."""
     rest = keys << U(bits)
-    wide = (len(at) - 1).bit_length() - 1
+    wide = (len(at) - 2).bit_length() - 1
     bucket = (rest >> U(64 - wide)).astype(np.int64)
     want = ((rest << U(wide)) >> U(32)).astype(np.uint32)
-    low, high = at[bucket].astype(np.int64), at[bucket + 1].astype(np.int64)
+    low, high = (at[b + 1].astype(np.int64) - int(at[0]) + even(b, len(known), wide) for b in (bucket, bucket + 1))
     end = high
     for _ in range(int((high - low).max(initial=0)).bit_length()):
         middle = (low + high) >> 1
