@@ -404,6 +404,35 @@ def test_a_good_part_of_a_bad_chain_is_found(spark):
         assert p["first"] == 0 and p["end"] >= 119 and sum(u == v for u, v in zip(a, b, strict=True)) >= 0.8 * len(a)
 
 
+def test_counted_rows_are_the_same_packed_or_not():
+    rng = np.random.default_rng(4)
+    for order in (2, 3):
+        grams = [rng.integers(0, 6, 500).astype(np.int32) for _ in range(order)]
+        packed, plain = (ngrams.counted([g.copy() for g in grams], n) for n in (6, 1 << 40))
+        assert all((a == b).all() for a, b in zip([*packed[:2], *packed[2], packed[3]], [*plain[:2], *plain[2], plain[3]], strict=True))
+        assert packed[3].sum() == 500 and len(packed[3]) == len(set(zip(*(g.tolist() for g in grams), strict=True)))
+
+
+def test_chances_of_tokens_do_not_need_their_own_lookups(spark, tmp_path):
+    rng = random.Random(12)
+    texts = [words(rng, rng.choice([0, 1, 2, 60]), 40) for _ in range(80)]
+    model = ngrams.train(spark.createDataFrame([(t,) for t in texts[:60]], "text string"), str(tmp_path / "m"), 3)
+    token, before, n = ngrams.tokens([t.encode() for t in texts])
+    found, want = [], []
+    calls = ngrams.Model._find
+    try:
+        ngrams.Model._find = lambda self, kind, keys, *names, **k: (found.append((kind, len(keys))), calls(self, kind, keys, *names, **k))[1]
+        chance, _ = model.probabilities(token, before, ngrams.earlier(before, n))
+    finally:
+        ngrams.Model._find = calls
+    # Each text alone has the same chances, and a word is looked up once, also as context.
+    for t, c in zip(texts, np.split(chance, np.cumsum(n)[:-1]), strict=True):
+        token, before, m = ngrams.tokens([t.encode()])
+        want.append(np.abs(model.probabilities(token, before, ngrams.earlier(before, m))[0] - c).max())
+    assert max(want) < 1e-12
+    assert dict(found)["word"] == dict(found)["context"] <= 42
+
+
 def test_toxicity_finds_unseen_misspellings(spark, empty):
     rng = random.Random(4)
     plain = lambda: words(rng, 30, 300)
