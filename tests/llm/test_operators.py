@@ -10,7 +10,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from meterweave.llm import ngrams
+from meterweave.llm import ngrams, repeats
 from meterweave.llm.decontamination import clean_documents, find_leaks
 from meterweave.llm.lines import LineRuns, batch_counts, drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken, mixed_documents
@@ -433,6 +433,24 @@ def test_chances_of_tokens_do_not_need_their_own_lookups(spark, tmp_path):
     assert dict(found)["word"] == dict(found)["context"] <= 42
 
 
+def test_suffix_arrays_hold_only_windows_that_are_found_twice(monkeypatch):
+    rng = random.Random(19)
+    letters = lambda n: bytes(rng.choice(b"abcdefgh\xfd ") for _ in range(n))
+    common = letters(90)
+    segments = [letters(rng.choice([50, 51, 70, 400])) for _ in range(60)] + [letters(40) + common[i : i + 60] + letters(40) for i in (0, 10, 30)] + [b"ab" * 60]
+    ids = np.array(rng.sample(range(1000), len(segments)))
+    held = []
+    plain = repeats.shared_windows
+    monkeypatch.setattr(repeats, "shared_windows", lambda parts, *rest: (held.extend(parts), plain(parts, *rest))[1])
+    got, at = repeats.earliest(segments, ids, 50), 0
+    for s, own in zip(segments, ids.tolist(), strict=True):
+        for i in range(len(s) - 49):
+            assert got[at + i] == min([own, *(o for t, o in zip(segments, ids.tolist(), strict=True) if s[i : i + 50] in t)])
+        at += len(s) + 1
+    assert sorted(map(len, held)) == [50, 50, 120]
+    assert (repeats.earliest(segments[:60], ids[:60], 50) == plain(segments[:60], ids[:60], 50)[: sum(map(len, segments[:60])) + 60]).all() and len(held) == 3
+
+
 def test_toxicity_finds_unseen_misspellings(spark, empty):
     rng = random.Random(4)
     plain = lambda: words(rng, 30, 300)
