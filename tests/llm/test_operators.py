@@ -16,7 +16,7 @@ from meterweave.llm.lines import LineRuns, batch_counts, drop_frequent_lines, li
 from meterweave.llm.mixing import mix_taken, mixed_documents
 from meterweave.llm.near import PARITY, first_of_groups, near_duplicates, parities, super_minhash
 from meterweave.llm.neighbours import nearest
-from meterweave.llm.passages import passage_classes, repeated_passages
+from meterweave.llm.passages import passage_classes, reach, repeated_passages
 from meterweave.llm.repeats import remove_repeats
 from meterweave.llm.sharding import communication_matrix, shard_rows
 from meterweave.llm.suffixes import common_prefixes, suffix_array
@@ -404,6 +404,42 @@ def test_a_good_part_of_a_bad_chain_is_found(spark):
         assert p["first"] == 0 and p["end"] >= 119 and sum(u == v for u, v in zip(a, b, strict=True)) >= 0.8 * len(a)
 
 
+def test_passages_are_found_whose_seeds_earlier_documents_have_apart(spark):
+    rng = random.Random(21)
+    own = lambda n: words(rng, n, 10**9).split()
+    passage = own(60)
+    data = [" ".join([*own(30), *passage[i : i + 7], *own(30)]) for i in range(0, 57, 4)]
+    data += [" ".join([*own(9), *passage, *own(9)]) for _ in range(2)]
+    # A passage of many texts, of which two share more than the first one has.
+    more = own(55)
+    longer = [*more[20:], *own(30)]
+    data += [" ".join([*own(9), *more, *own(9)]) for _ in range(12)] + [" ".join([*own(9), *longer, *own(9)]) for _ in range(2)]
+    table = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in passage_classes(repeated_passages(table)).collect()}
+    n = len(data) - 16
+    assert [got[i]["class_id"] for i in range(n)] == list(range(n))
+    assert {(p["first"], p["end"], p["partner"]) for p in got[n + 1]["passages"]} == {(9, 69, n)} and got[n]["class_id"] == got[n + 1]["class_id"] == n
+    assert {got[i]["class_id"] for i in range(n + 2, n + 14)} == {n + 2}
+    assert {got[i]["class_id"] for i in (n + 14, n + 15)} == {n + 14} and got[n + 15]["n_later"] == 65
+
+
+def test_close_holders_of_a_pair_allow_two_changes():
+    rng = random.Random(3)
+    columns = lambda side: [np.array([sum(((w >> b) & 1) << i for i, w in enumerate(x)) for x in side], np.uint16) for b in range(4)]
+    one, other = [], []
+    for _ in range(3000):
+        x = [rng.randrange(16) for _ in range(14)]
+        y = list(x)
+        for at in sorted(rng.sample(range(10), 2), reverse=True):
+            kind = rng.randrange(3)
+            y[at : at + (kind < 2)] = [rng.randrange(16)] * (kind > 0)
+        one.append(x[:10]), other.append((y + [0] * 4)[:10])
+    # Ten columns with two changes at most, whatever they are.
+    assert (reach(columns(one), columns(other))[2] >= 10).all()
+    assert (reach(columns(one), columns(one))[0] == 10).all()
+    assert (reach(columns(one), columns(one[1:] + one[:1]))[2] < 10).mean() > 0.99
+
+
 def test_counted_rows_are_the_same_packed_or_not():
     rng = np.random.default_rng(4)
     for order in (2, 3):
