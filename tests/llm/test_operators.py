@@ -1,16 +1,20 @@
 """Each operator on small tables with nulls, empty and long texts, ties, repeats and clashing columns, beside brute force."""
 
 import collections
+import glob
 import math
+import os
 import random
 import resource
+import time
 import zlib
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from meterweave.llm import ngrams, repeats
+from meterweave.llm import ngrams, passages, repeats
 from meterweave.llm.decontamination import clean_documents, find_leaks
 from meterweave.llm.lines import LineRuns, batch_counts, drop_frequent_lines, line_runs
 from meterweave.llm.mixing import mix_taken, mixed_documents
@@ -515,3 +519,46 @@ def test_parity_bits_never_differ_in_more_places_than_the_sets():
             differ = sum(int(w).bit_count() for w in x ^ y)
             assert differ <= len(np.setxor1d(a, b)) and differ % 2 == len(np.setxor1d(a, b)) % 2
     assert parities(np.zeros(0, np.uint64), np.zeros(0, np.int64)).shape == (0, PARITY)
+
+
+def test_shuffle_files_of_holders_go_before_words_are_sent(spark, docs, monkeypatch):
+    """Later stages find the disk as it was before the links; the words that are sent are compressed."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def held():
+        return {f for top in folders for f in glob.glob(f"{top}/**/shuffle_*.data", recursive=True) if os.path.getsize(f)}
+
+    after, store = {}, passages.stored
+
+    def watched(df, name, freed=False):
+        before = held()
+        out = store(df, name, freed=freed)
+        end = time.time() + 20
+        while held() - before and time.time() < end:
+            time.sleep(0.1)
+        after[name] = held() - before
+        return out
+
+    monkeypatch.setattr(passages, "stored", watched)
+    assert passage_classes(repeated_passages(docs)).count() == docs.count()
+    assert after == {"links": set(), "passages": set()}
+    table = pa.table({"chunk": pa.array([0, 0], pa.int32()), "doc_id": [1, 2], "text": [" ".join(f"w{i}" for i in range(3000))] * 2})
+    links = pa.table({"chunk": pa.array([0], pa.int32()), "links": [np.array([[0, 5 << 32], [1, 5 << 32]]).tobytes()]})
+    (sent,) = passages.with_earlier_words(table, links)["pairs"].to_pylist()
+    assert len(sent) < 0.8 * 2 * 3000 * 4
+
+
+def test_chains_on_many_diagonals_are_drawn_out_as_one_by_one():
+    rng = random.Random(4)
+    for turn in range(40):
+        line = [rng.randrange(1 << 32) for _ in range(rng.randrange(1, 9))]
+        x, y = ([w if rng.random() > rng.choice((0.02, 0.1)) else rng.randrange(1 << 32) for w in line * 60][: 60 + 5 * turn] for _ in range(2))
+        sides = [passages.Texts(np.array(z, np.uint64), np.array([len(z)]), 4, 1).text(0) for z in (x, y)]
+        at, to = passages.common_seeds(*sides)
+        assert sorted(zip(at.tolist(), to.tolist(), strict=True)) == [(i, j) for i in range(len(x) - 3) for j in range(len(y) - 3) if x[i : i + 4] == y[j : j + 4]]
+        if not len(at):
+            continue
+        chains = passages.best_chains(passages.anchors(at, to, 4, 5), 30, 0.2)
+        want = {f for c in chains for f in passages.alike(c, *sides, 50, 0.8)}
+        left, got = passages.likely(chains, *sides, 50, 0.8)
+        assert got | {f for c in left for f in passages.alike(c, *sides, 50, 0.8)} == want
