@@ -562,3 +562,24 @@ def test_chains_on_many_diagonals_are_drawn_out_as_one_by_one():
         want = {f for c in chains for f in passages.alike(c, *sides, 50, 0.8)}
         left, got = passages.likely(chains, *sides, 50, 0.8)
         assert got | {f for c in left for f in passages.alike(c, *sides, 50, 0.8)} == want
+
+
+def test_files_of_a_model_open_as_plain_arrays(tmp_path, monkeypatch):
+    """A text looks into every file of the model, so opening one must not read a long head."""
+    monkeypatch.setattr(np, "load", None)
+    arrays = {"a": np.arange(7, dtype=np.uint32), "b": np.arange(6, dtype=np.int64).reshape(2, 3), "c": np.zeros((0, 3), np.uint8), "d": np.arange(3, dtype=np.uint8)}
+    ngrams.save(f"{tmp_path}/x", **arrays)
+    for name, array in arrays.items():
+        (path,) = glob.glob(f"{tmp_path}/x-{name}.*")
+        got = ngrams.mapped(path)
+        assert type(got) is np.ndarray and len(got) == len(array)
+        if len(array):
+            assert got.dtype == array.dtype and (got == array).all()
+    assert not len(ngrams.mapped(f"{tmp_path}/x-none.bin"))
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 33, 5000):
+        keys = np.unique(np.concatenate([rng.integers(0, 1 << 61, n, dtype=np.uint64), np.arange(60, dtype=np.uint64) << np.uint64(40)]))
+        known, at = ngrams.bucketed(keys, 3)
+        asked = np.sort(np.concatenate([keys, rng.integers(0, 1 << 61, 500, dtype=np.uint64)]))
+        same, spot = ngrams.placed(asked, known, at, 3)
+        assert (same == np.isin(asked, keys)).all() and (keys[spot[same]] == asked[same]).all()
