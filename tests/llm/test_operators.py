@@ -6,6 +6,7 @@ import math
 import os
 import random
 import resource
+import sys
 import time
 import zlib
 from dataclasses import replace
@@ -564,6 +565,59 @@ def test_chains_on_many_diagonals_are_drawn_out_as_one_by_one():
         assert got | {f for c in left for f in passages.alike(c, *sides, 50, 0.8)} == want
 
 
+def calls(run, *args):
+    """(result, number of functions called on the way)."""
+    n = 0
+
+    def count(frame, event, arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        out = run(*args)
+    finally:
+        sys.setprofile(None)
+    return out, n
+
+
+def test_passages_inside_others_are_dropped_many_at_a_time():
+    rng = random.Random(12)
+    for size in (0, 1, 2, 40, 3 * passages.OUTERMOST):
+        found = set()
+        while len(found) < size:
+            a, b, n = rng.randrange(400), rng.randrange(40), rng.randrange(50, 90)
+            found.add((a, a + n, b, b + n + rng.randrange(3)))
+        want: list = []
+        for a, z, b, e in sorted(found, key=lambda f: (f[0] - f[1], f)):
+            if not any(f <= a and z <= g and h <= b and e <= i for f, g, h, i in want):
+                want.append((a, z, b, e))
+        got, n = calls(passages.outermost, found)
+        assert got == want and n <= 1.2 * size + 100
+    assert len(want) < size - passages.OUTERMOST
+
+
+def test_longest_stretches_of_few_and_of_many_runs():
+    rng = random.Random(13)
+    for turn in range(400):
+        runs, total, x, y = [], [], 0, 0
+        for _ in range(rng.choice((1, 2, 3, 8, 24, 25, 60))):
+            n, between = rng.randrange(1, 40), rng.randrange(0, 4)
+            runs.append((x, y, n))
+            total.append((total[-1] if total else 0) + between + n)
+            x, y = x + n + between + rng.randrange(rng.choice((2, 30))), y + n + between + rng.randrange(rng.choice((2, 30)))
+        want = []
+        for i, (p, q, w) in enumerate(runs):
+            fit = [j for j, (g, h, v) in enumerate(runs) if j >= i and min(g + v - p, h + v - q) >= 50 and total[j] - total[i] + w >= 0.8 * max(g + v - p, h + v - q)]
+            want += [(i, fit[-1])] if fit else []
+        assert passages.longest_stretches(runs, total, 50, 0.8) == want
+    # One anchor with two runs behind it, and too few equal words to be one passage.
+    shared = [rng.randrange(1 << 32) for _ in range(90)]
+    texts = [[w if j not in (44, *range(54, 76)) else rng.randrange(1 << 32) for j, w in enumerate(shared)] for _ in range(2)]
+    sides = [passages.Texts(np.array(t, np.uint64), np.array([90]), 4, 1).text(0) for t in texts]
+    assert passages.alike([(0, 0, 44)], *sides, 50, 0.8) == [(0, 54, 0, 54)]
+
+
 def test_files_of_a_model_open_as_plain_arrays(tmp_path, monkeypatch):
     """A text looks into every file of the model, so opening one must not read a long head."""
     monkeypatch.setattr(np, "load", None)
