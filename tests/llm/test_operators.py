@@ -428,6 +428,29 @@ def test_passages_are_found_whose_seeds_earlier_documents_have_apart(spark):
     assert {got[i]["class_id"] for i in (n + 14, n + 15)} == {n + 14} and got[n + 15]["n_later"] == 65
 
 
+def test_passages_are_found_whose_pairs_are_all_frequent(spark):
+    rng = random.Random(33)
+    own = lambda n: words(rng, n, 10**9).split()
+    between = lambda x: " ".join([*own(20), *x, *own(20)])
+    # Each 15 words of a passage, from every third on, stand in 17 documents before the two that have the whole.
+    passage = own(60)
+    data = [between(passage[i : i + 15]) for i in range(0, 46, 3) for _ in range(17)]
+    data += [between(passage) for _ in range(2)]
+    # 30 times one word, in documents before those that have it longer; and the same for two of these in turn.
+    for repeated in (own(1) * 70, own(2) * 35):
+        data += [between(repeated[:30]) for _ in range(17)] + [between(repeated) for _ in range(2)]
+    # Holders of a pair that are close to none of many unlike them.
+    rare = own(61)
+    data += [" ".join([*own(8), *rare[i : i + 2], *own(8), *own(30)]) for i in range(60) for _ in range(20)] + [between(rare) for _ in range(2)]
+    got = {r["doc_id"]: r for r in passage_classes(repeated_passages(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"))).collect()}
+    n, late = 17 * 16, {}
+    for i, length in ((n, 60), (n + 19, 70), (n + 38, 70), (len(data) - 2, 61)):
+        late[i + 1] = length
+        assert got[i]["partners"] == [i + 1] and got[i + 1]["partners"] == [i] and got[i + 1]["class_id"] == i
+        assert [got[i][c] for c in ("n_repeated", "n_later")] == [length, 0]
+    assert {i: r["n_later"] for i, r in got.items() if r["n_later"]} == late
+
+
 def test_close_holders_of_a_pair_allow_two_changes():
     rng = random.Random(3)
     columns = lambda side: [np.array([sum(((w >> b) & 1) << i for i, w in enumerate(x)) for x in side], np.uint16) for b in range(4)]
